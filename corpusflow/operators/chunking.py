@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.embed import DIM, semantic_starts, signature
 from ..functions.text import sentences
+from ..plans.ranking import explode_list
 
 # Separators from coarse to fine.
 PLAIN = ("\n\n", "\n", " ", "")
@@ -113,28 +114,40 @@ def smart_parts(docs: DataFrame, text: str = "text", max_size: int = 1000, fallb
 
 def explode_chunks(docs: DataFrame, parts, drop: list[str] = ()) -> DataFrame:
     """One row per chunk; every other column of the document is carried along."""
-    held = docs.withColumn("_parts", parts)
-    return (held.select(*[c for c in docs.columns if c not in drop],
-                        F.posexplode("_parts").alias("chunk_no", "chunk"))
-            .withColumn("n_chars", F.length("chunk")))
+    keep = [c for c in docs.columns if c not in drop]
+    return explode_list(docs, keep, parts, "chunk", "chunk_no").withColumn("n_chars", F.length("chunk"))
+
+
+# A child id is document | parent number | child number. A parent of up to 600 characters has
+# far fewer than 2**10 children; 2**20 parents are a document of hundreds of megabytes.
+PARENT_BITS = 20
+CHILD_BITS = 10
+
+
+def _packed(high: str, low: str, bits: int) -> Column:
+    return F.shiftleft(F.col(high).cast("bigint"), bits).bitwiseOR(F.col(low).cast("bigint"))
+
+
+def parent_of(child_id: Column) -> Column:
+    return F.shiftright(child_id, CHILD_BITS)
+
+
+def document_of(parent_id: Column) -> Column:
+    return F.shiftright(parent_id, PARENT_BITS)
 
 
 def parent_child(docs: DataFrame, id: str = "doc_id", text: str = "text", parent=(600, 50),
                  child=(150, 15)) -> tuple[DataFrame, DataFrame]:
     """``(parents, children)``; each child names its parent. Ids pack document and position."""
     cut = docs.select(F.col(id).alias("doc_id"), recursive(F.col(text), *parent).alias("parts"))
-    parents = cut.select("doc_id", F.posexplode("parts").alias("parent_no", "parent"))
-    parents = parents.withColumn("parent_id", _packed("doc_id", "parent_no", 20))
+    parents = explode_list(cut, ["doc_id"], "parts", "parent", "parent_no")
+    parents = parents.withColumn("parent_id", _packed("doc_id", "parent_no", PARENT_BITS))
     cut = parents.withColumn("parts", recursive(F.col("parent"), *child))
-    children = cut.select("doc_id", "parent_id", F.posexplode("parts").alias("child_no", "child"))
-    children = children.withColumn("child_id", _packed("parent_id", "child_no", 10))
+    children = explode_list(cut, ["doc_id", "parent_id"], "parts", "child", "child_no")
+    children = children.withColumn("child_id", _packed("parent_id", "child_no", CHILD_BITS))
     return parents.select("parent_id", "doc_id", "parent_no", "parent"), children
 
 
-def _packed(high: str, low: str, bits: int) -> Column:
-    return F.shiftleft(F.col(high).cast("bigint"), bits).bitwiseOR(F.col(low).cast("bigint"))
-
-
 FENCE = "```"
 SHIELD = "\u0002"
 HEADER = r"^\s*(#{1,3})\s+(.*?)\s*$"
@@ -195,7 +208,7 @@ def header_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row per section with its header path."""
     cut = docs.withColumn("_sections", header_sections(F.col(text)))
     rest = [c for c in docs.columns if c != text]
-    return (cut.select(*rest, F.posexplode("_sections").alias("chunk_no", "s"))
+    return (explode_list(cut, rest, "_sections", "s", "chunk_no")
             .select(*rest, "chunk_no", "s.h1", "s.h2", "s.h3", F.col("s.content").alias("chunk")))
 
 
@@ -206,8 +219,7 @@ def compare_strategies(docs: DataFrame, group: str = "lang", text: str = "text",
         "recursive", recursive(F.col(text), size, overlap))
     lists = F.array(*[F.struct(F.lit(name).alias("strategy"), F.col(name).alias("parts"))
                       for name in ("recursive", "semantic")])
-    rows = parts.select(group, F.inline(lists)).select(
-        group, "strategy", F.explode("parts").alias("chunk"))
+    rows = explode_list(parts.select(group, F.inline(lists)), [group, "strategy"], "parts", "chunk")
     length = F.length("chunk")
     return rows.groupBy("strategy", group).agg(
         F.count(F.lit(1)).alias("n_chunks"), F.round(F.avg(length), 6).alias("avg_chars"),

@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vector as V
+from ..functions.embed import DIM, signature
 from ..plans.blockjoin import similar
 from ..plans.ranking import number_rows, with_rank
-from ..plans.sizing import broadcast_if_small
+from ..plans.sizing import broadcast_if_small, few_rows, materialise, spread
+from .chunking import document_of, parent_child, parent_of
 
 
 def nearest(queries: DataFrame, corpus: DataFrame, k: int, **options) -> DataFrame:
@@ -106,13 +108,35 @@ def multi_query(variants: DataFrame, corpus: DataFrame, k: int = 2, vec: str = "
         F.max("score").alias("score"), F.count(F.lit(1)).alias("n_variants"))
 
 
-def parents_of(ranked_children: DataFrame, children: DataFrame, parents: DataFrame) -> DataFrame:
-    """Distinct parents of retrieved children, in best-child order, with the parent text."""
-    owner = children.select(F.col("child_id").alias("id"), "parent_id")
-    hits = ranked_children.join(owner, "id").groupBy("query_id", "parent_id").agg(
+def parents_of(ranked_children: DataFrame) -> DataFrame:
+    """Distinct parents of retrieved children, in best-child order.
+
+    A child id names its parent and a parent id its document, so no join is needed.
+    """
+    owner = ranked_children.withColumn("parent_id", parent_of(F.col("id")))
+    hits = owner.groupBy("query_id", "parent_id").agg(
         F.min("rank").alias("best_child_rank"), F.max("score").alias("score"))
-    placed = with_rank(hits, ["query_id"], [F.asc("best_child_rank"), F.asc("parent_id")])
-    return placed.join(parents, "parent_id")
+    return with_rank(hits, ["query_id"], [F.asc("best_child_rank"), F.asc("parent_id")])
+
+
+def parent_search(queries: DataFrame, docs: DataFrame, k: int = 4, *, id: str = "doc_id",
+                  text: str = "text", query_id: str = "query_id", query: str = "query",
+                  parent=(600, 50), child=(150, 15), dim: int = DIM) -> DataFrame:
+    """Search small children, return the larger parents they come from.
+
+    Only documents with a hit are split a second time to get the parent texts.
+    """
+    corpus = spread(docs.select(id, text), id)
+    _, children = parent_child(corpus, id, text, parent, child)
+    found = similar(queries.select(F.col(query_id).alias("query_id"), signature(query, dim).alias("codes")),
+                    children.select("child_id", signature("child", dim).alias("codes")), k,
+                    query_vec="codes", id="child_id", vec="codes", encoding="signature", dim=dim)
+    placed = materialise(parents_of(found))
+    hit_docs = placed.select(document_of(F.col("parent_id")).alias(id)).distinct()
+    small = few_rows(queries, k)
+    needed = docs.select(id, text).join(F.broadcast(hit_docs) if small else hit_docs, id, "left_semi")
+    parents, _ = parent_child(needed, id, text, parent, child)
+    return (F.broadcast(placed) if small else placed).join(parents, "parent_id")
 
 
 def train_cells(corpus: DataFrame, cells: int, vec: str = "embedding", seed: int = 7,

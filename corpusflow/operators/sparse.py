@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from ..plans.ranking import top_k
+from ..plans.ranking import explode_list, top_k
 from ..plans.sizing import fits_broadcast
 
 K1 = 1.5
 B = 0.75
-MAX_QUERY_TERMS_SENT = 500_000
+MAX_QUERIES_SENT = 50_000
+MAX_QUERY_CHARS_SENT = 8_000_000
 SALTS = 64
 
 
@@ -26,19 +27,20 @@ def index_documents(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     return placed.select("id", tokens("text").alias("terms")).withColumn("n_terms", F.size("terms"))
 
 
-def postings(index: DataFrame) -> DataFrame:
-    """``(id, n_terms, term, tf)``. Stays in the task of the document."""
-    # The outer form keeps Catalyst from tokenising a second time, below the shuffle, to drop
-    # empty documents; so all branches also share one shuffle.
-    return (index.select("id", "n_terms", F.explode_outer("terms").alias("term"))
-            .where(F.col("term").isNotNull())
-            .groupBy("id", "n_terms", "term").agg(F.count(F.lit(1)).alias("tf")))
+def postings(index: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """``(id, n_terms, term, tf)``. Stays in the task of the document.
 
+    ``only`` is a small table of wanted terms; other tokens are dropped as they are read.
+    """
+    tokens_ = explode_list(index, ["id", "n_terms"], "terms", "term")
+    if only is not None:
+        tokens_ = tokens_.join(F.broadcast(only.select("term").distinct()), "term", "left_semi")
+    return tokens_.groupBy("id", "n_terms", "term").agg(F.count(F.lit(1)).alias("tf"))
 
-def term_stats(index: DataFrame) -> DataFrame:
+
+def term_stats(index: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """``(term, df)``: in how many documents a term occurs."""
-    seen = index.select(F.explode_outer(F.array_distinct("terms")).alias("term"))
-    return seen.where(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return postings(index, only).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def corpus_stats(index: DataFrame) -> DataFrame:
@@ -63,7 +65,7 @@ def merge_corpus_stats(*parts: DataFrame) -> DataFrame:
 
 def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "query") -> DataFrame:
     """``(query_id, term, qtf)``; a term repeated in a query counts each time."""
-    exploded = queries.select(F.col(query_id).alias("query_id"), F.explode(tokens(text)).alias("term"))
+    exploded = explode_list(queries, [F.col(query_id).alias("query_id")], tokens(text), "term")
     return exploded.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
@@ -79,21 +81,24 @@ def _saturation(tf, n_terms, avg_terms):
 def bm25(queries: DataFrame, docs: DataFrame, k: int, *, id: str = "doc_id", text: str = "text",
          query_id: str = "query_id", query: str = "query", index: DataFrame | None = None,
          stats: DataFrame | None = None, totals: DataFrame | None = None,
-         send_limit: int = MAX_QUERY_TERMS_SENT) -> DataFrame:
+         send_limit: int = MAX_QUERIES_SENT) -> DataFrame:
     """Top-k documents per query with a positive score."""
     index = index_documents(docs, id, text) if index is None else index
-    stats = term_stats(index) if stats is None else stats
+    wanted = query_terms(queries, query_id, query)
+    # A query has fewer distinct terms than characters, so its text bounds the rows to send.
+    small = fits_broadcast(queries, f"length({query})", send_limit, MAX_QUERY_CHARS_SENT)
+    only = wanted if small else None
+    stats = term_stats(index, only) if stats is None else stats
     totals = corpus_stats(index) if totals is None else totals
     # Scalar subquery: one row by construction, and it runs once.
     total = totals.select(F.struct(F.col("n_docs").cast("double").alias("n_docs"), (
         F.col("sum_terms") / F.col("n_docs")).alias("avg_terms"))).scalar()
     n_docs, avg_terms = total["n_docs"], total["avg_terms"]
 
-    wanted = query_terms(queries, query_id, query)
     weighted = wanted.join(stats, "term").select(
         "query_id", "term", (F.col("qtf") * _idf(F.col("df"), n_docs)).alias("weight"))
-    if fits_broadcast(wanted, "length(term) + 64", send_limit):
-        matched = postings(index).join(F.broadcast(weighted), "term")
+    if small:
+        matched = postings(index, only).join(F.broadcast(weighted), "term")
     else:
         # A frequent term is spread over salts by document; its query rows are copied to each.
         salted = postings(index).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))

@@ -24,6 +24,18 @@ def with_rank(df: DataFrame, by: list[str], order: list[Column], rank: str = "ra
     return df.withColumn(rank, F.row_number().over(W.partitionBy(*by).orderBy(*order)))
 
 
+def explode_list(df: DataFrame, keep: list, items, value: str, position: str | None = None) -> DataFrame:
+    """One row per list element, next to the ``keep`` columns.
+
+    A plain explode makes Catalyst add a filter for empty lists and push it down, which computes
+    a derived list (a splitter, a tokeniser) twice and ahead of a rebalance. The outer form with
+    a filter on the element gives the same rows and computes the list once.
+    """
+    out = df.select(*keep, F.posexplode_outer(items).alias("_pos", value))
+    out = out.where(F.col("_pos").isNotNull())
+    return out.withColumnRenamed("_pos", position) if position else out.drop("_pos")
+
+
 def number_rows(df: DataFrame, order: list[Column], by: list[str] | None = None,
                 name: str = "rank") -> DataFrame:
     """1-based ``row_number`` over whole groups of any size.

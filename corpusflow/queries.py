@@ -24,6 +24,7 @@ from .operators import fusion as U
 from .operators import retrieval as R
 from .operators import sparse as S
 from .operators import usage as G
+from .plans.ranking import explode_list
 from .plans.sizing import few_rows, rows_of, scratch_path, spread
 from .sources import files, stores
 from .streaming import jobs
@@ -121,8 +122,8 @@ def mmr_rerank(spark, sf):
 
 def _rewrites(spark, sf):
     """Each sentence of a query as a rewrite of it."""
-    return text_queries(spark, sf).select("query_id", F.posexplode(T.sentences("query")).alias(
-        "variant_no", "variant")).withColumn("codes", signature("variant"))
+    return explode_list(text_queries(spark, sf), ["query_id"], T.sentences("query"), "variant",
+                        "variant_no").withColumn("codes", signature("variant"))
 
 
 def _coded_documents(spark, sf):
@@ -192,19 +193,9 @@ def ensemble_search(spark, sf):
     return U.ensemble_search(text_queries(spark, sf), documents(spark, sf), 2, (0.4, 0.6))
 
 
-def _child_search(spark, sf):
-    parents, children = K.parent_child(spread(
-        documents(spark, sf).select("doc_id", "text"), "doc_id"))
-    coded = children.select("child_id", "parent_id", signature("child").alias("codes"))
-    q = text_queries(spark, sf).select("query_id", signature("query").alias("codes"))
-    found = R.nearest(q, coded, 4, query_vec="codes", vec="codes", id="child_id", encoding="signature")
-    return found, children, parents
-
-
 @query
 def parent_retrieve(spark, sf):
-    found, children, parents = _child_search(spark, sf)
-    return R.parents_of(found, children, parents).select(
+    return R.parent_search(text_queries(spark, sf), documents(spark, sf), 4).select(
         "query_id", "parent_id", "doc_id", "rank", "best_child_rank", "score", "parent")
 
 
@@ -315,7 +306,7 @@ def chunk_overlap(spark, sf):
     lists = F.array(
         F.struct(F.lit(0).alias("overlap"), K.recursive(F.col("text"), 70, 0).alias("parts")),
         F.struct(F.lit(25).alias("overlap"), K.recursive(F.col("text"), 70, 25).alias("parts")))
-    rows = docs.select("lang", F.inline(lists)).select("lang", "overlap", F.explode("parts").alias("chunk"))
+    rows = explode_list(docs.select("lang", F.inline(lists)), ["lang", "overlap"], "parts", "chunk")
     return rows.groupBy("overlap", "lang").agg(
         F.count(F.lit(1)).alias("n_chunks"), F.sum(F.length("chunk")).alias("n_chars"))
 

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.chunking import explode_chunks, recursive
+from ..plans.ranking import explode_list
 from ..plans.sizing import broadcast_if_small, path_exists
 
 SCHEMA = ("text string, file_name string, file_type string, location string, "
@@ -146,10 +147,9 @@ def quarantined_csv(spark: SparkSession, path: str, columns: list[str], multi_li
 
 def json_records(rows: DataFrame, column: str = "value") -> DataFrame:
     """Elements of a top-level JSON array, numbered from 1. Text that is no array gives no row."""
-    items = rows.withColumn("_items", F.from_json(column, "array<string>"))
-    return (items.select(*[c for c in rows.columns if c != column],
-                         F.posexplode("_items").alias("_pos", "record"))
-            .withColumn("record_no", F.col("_pos") + 1).drop("_pos"))
+    items = explode_list(rows, [c for c in rows.columns if c != column],
+                         F.from_json(column, "array<string>"), "record", "record_no")
+    return items.withColumn("record_no", F.col("record_no") + 1)
 
 
 def _json_files(spark, path):
