@@ -140,9 +140,10 @@ def _csv_rows(spark, head, files, multi_line) -> DataFrame:
 
 def quarantined_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool = False) -> DataFrame:
     """Records that do not fit the header, with their file."""
-    return (_csv_scan(spark, columns, [path], multi_line)
-            .select(F.col("_metadata.file_name").alias("file_name"), F.col(CORRUPT).alias("record"))
-            .where(F.col("record").isNotNull()))
+    rows = _csv_scan(spark, columns, [path], multi_line).where(F.col(CORRUPT).isNotNull())
+    # The parsed fields stay in the output, as the scan needs all of them to judge a record.
+    return rows.select(F.col("_metadata.file_name").alias("file_name"), F.col(CORRUPT).alias("record"),
+                       F.struct(*[F.col(f"`{c}`") for c in columns]).alias("parsed"))
 
 
 def json_records(rows: DataFrame, column: str = "value") -> DataFrame:
