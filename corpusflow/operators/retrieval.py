@@ -14,7 +14,7 @@ from ..functions import vector as V
 from ..functions.embed import DIM, signature
 from ..plans.blockjoin import similar
 from ..plans.ranking import number_rows, with_rank
-from ..plans.sizing import broadcast_if_small, few_rows, materialise, spread
+from ..plans.sizing import broadcast_if_small, few_rows, materialise, rows_of, spread
 from .chunking import document_of, parent_child, parent_of
 
 
@@ -89,8 +89,8 @@ def nearest_diverse(queries: DataFrame, corpus: DataFrame, k: int = 3, fetch_k:
                     **options) -> DataFrame:
     """Fetch ``fetch_k`` rows by similarity, keep ``k`` diverse ones."""
     found = similar(queries, corpus, fetch_k, id=id, vec=vec, **options)
-    vectors = corpus.select(F.col(id).cast("bigint").alias("id"), F.col(vec).alias("embedding"))
-    return mmr(found.join(vectors, "id"), k, trade_off)
+    vectors = [F.col(id).cast("bigint").alias("id"), F.col(vec).alias("embedding")]
+    return mmr(rows_of(found, corpus, vectors, few_rows(queries, fetch_k)), k, trade_off)
 
 
 def multi_query(variants: DataFrame, corpus: DataFrame, k: int = 2, vec: str = "embedding",
@@ -152,23 +152,24 @@ def with_cell(model, df: DataFrame, vec: str = "embedding") -> DataFrame:
     return model.transform(points).withColumnRenamed("prediction", "cell").drop("features")
 
 
-def nearest_approximate(queries: DataFrame, corpus: DataFrame, k: int, model, probes: int = 4,
+def nearest_approximate(queries: DataFrame, index: DataFrame, k: int, model, probes: int = 4,
                         query_id: str = "query_id", id: str = "id", vec: str = "embedding",
                         exclude_self: bool = False) -> DataFrame:
     """Search only the ``probes`` cells nearest to each query.
 
-    A table written with ``partitionBy("cell")`` is pruned to the probed cells. A hot cell is
-    cut into blocks like any other group of the block join.
+    ``index`` is the output of ``with_cell``, best as a table written with
+    ``partition_by=["cell"]``: then no cell is computed again and unprobed cells are not read.
+    A hot cell is cut into blocks like any other group of the block join.
     """
     centres = queries.sparkSession.createDataFrame(
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
         "cell int, centre array<double>")
     routed = similar(queries, centres, probes, query_id=query_id, query_vec=vec, id="cell",
                      vec="centre", metric="l2").select("query_id", F.col("id").cast("int").alias("cell"))
-    vectors = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(vec).alias("embedding"))
-    probed = routed.join(vectors, "query_id")
-    placed = with_cell(model, corpus.select(F.col(id).alias("id"), F.col(vec).alias("embedding")))
-    return similar(probed, placed, k, by=["cell"], exclude_self=exclude_self)
+    asked = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(vec).alias("embedding"))
+    probed = routed.join(asked, "query_id")
+    cells = index.select("cell", F.col(id).alias("id"), F.col(vec).alias("embedding"))
+    return similar(probed, cells, k, by=["cell"], exclude_self=exclude_self)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

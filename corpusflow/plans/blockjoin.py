@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.embed import DIM, expand, list_parts
 from .ranking import top_k
-from .sizing import broadcast_if_small, fits_broadcast
+from .sizing import broadcast_if_small, fits_broadcast, materialise
 
 QUERY_ROWS = 4096
 CORPUS_ROWS = 16384
@@ -170,15 +170,18 @@ def _grid(queries: DataFrame, corpus: DataFrame, by: list[str], how: Scoring) ->
 
     def sizes(df, rows, name):
         cut = F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int")
-        return df.groupBy(*by).agg(cut.alias(name))
+        return df.groupBy(*by).agg(cut.alias(name)).where(F.col(name) > 1)
 
-    cuts = broadcast_if_small(
-        sizes(queries, QUERY_ROWS, "_qs").join(sizes(corpus, CORPUS_ROWS, "_cs"), by))
+    # Only groups of more than one block are listed, so the list is at most rows / block long.
+    cuts = broadcast_if_small(materialise(
+        sizes(queries, QUERY_ROWS, "_qs").join(sizes(corpus, CORPUS_ROWS, "_cs"), by, "full")))
 
     def cells(df, ident, own, other):
-        return (df.join(cuts, by)
-                .withColumn(f"{own}b", F.pmod(F.xxhash64(ident), F.col(f"{own}s")).cast("int"))
-                .withColumn(f"{other}b", F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
+        one = F.lit(1)
+        return (df.join(cuts, by, "left")
+                .withColumn(f"{own}b", F.pmod(F.xxhash64(ident), F.coalesce(F.col(f"{own}s"), one)).cast("int"))
+                .withColumn(f"{other}b", F.explode(F.sequence(
+                    F.lit(0), F.coalesce(F.col(f"{other}s"), one) - 1)))
                 .drop("_qs", "_cs"))
 
     keys = [*by, "_qb", "_cb"]

@@ -25,7 +25,7 @@ from .operators import retrieval as R
 from .operators import sparse as S
 from .operators import usage as G
 from .plans.ranking import explode_list
-from .plans.sizing import few_rows, rows_of, scratch_path, spread
+from .plans.sizing import few_rows, materialise, rows_of, scratch_path, spread
 from .sources import files, stores
 from .streaming import jobs
 
@@ -71,8 +71,9 @@ def label_means(spark, sf) -> DataFrame:
     """One query per label: the mean of its vectors, combined in each task first."""
     points = table(spark, sf, "embeddings").select(
         "label", array_to_vector(V.as_double("embedding")).alias("v"))
-    return points.groupBy("label").agg(Summarizer.mean(F.col("v")).alias("mean")).select(
+    means = points.groupBy("label").agg(Summarizer.mean(F.col("v")).alias("mean")).select(
         F.col("label").cast("bigint").alias("query_id"), vector_to_array("mean").alias("embedding"))
+    return materialise(means)  # a few rows; the size check and the search then read these alone
 
 
 # --- dense retrieval -------------------------------------------------------------------------
@@ -146,7 +147,9 @@ def multi_query_union(spark, sf):
 def ann_recall(spark, sf):
     corpus, queries = vectors(spark, sf), vector_queries(spark, sf)
     model = R.train_cells(corpus, cells=16)
-    found = R.nearest_approximate(queries, corpus, 5, model, probes=6, exclude_self=True)
+    root = scratch_path(spark, "cells")
+    stores.save(R.with_cell(model, corpus), root, partition_by=["cell"])
+    found = R.nearest_approximate(queries, stores.load(spark, root), 5, model, probes=6, exclude_self=True)
     return R.recall(found, R.nearest(queries, corpus, 5, exclude_self=True))
 
 

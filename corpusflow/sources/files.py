@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.chunking import explode_chunks, recursive
 from ..plans.ranking import explode_list
-from ..plans.sizing import broadcast_if_small, path_exists
+from ..plans.sizing import broadcast_if_small, materialise, path_exists
 
 SCHEMA = ("text string, file_name string, file_type string, location string, "
           "metadata map<string,string>")
@@ -123,18 +123,21 @@ def _csv_scan(spark, head, files, multi_line):
 
 
 def _csv_rows(spark, head, files, multi_line) -> DataFrame:
-    rows = _csv_scan(spark, head, files, multi_line).select(
+    # Checkpointed: how files are cut into blocks depends on the cores at hand, which may change
+    # between two scans, and both the counts and the records must see the same blocks.
+    rows = materialise(_csv_scan(spark, head, files, multi_line).select(
         *[F.col(f"`{c}`") for c in head], CORRUPT, *_place(),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_order"))
-    blocks = rows.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"))
+        F.monotonically_increasing_id().alias("_order")))
+    # A scan task reads a block's records in a row, so their order numbers are consecutive and
+    # the place in the block is the distance to its first number: no record is shuffled.
+    blocks = rows.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_order").alias("_low"))
     before = W.partitionBy("_path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = blocks.select("_path", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    inside = W.partitionBy("_path", "_block").orderBy("_order")
-    placed = (rows.withColumn("_at", F.row_number().over(inside) - 1)
-              .join(broadcast_if_small(offsets), ["_path", "_block"])
+    offsets = blocks.select("_path", "_block", (
+        F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_low")).alias("_shift"))
+    placed = (rows.join(broadcast_if_small(offsets, "256"), ["_path", "_block"])
               .where(F.col(CORRUPT).isNull()))
-    where = F.concat(F.lit("Row "), (F.col("_at") + F.col("_first")).cast("string"))
+    where = F.concat(F.lit("Row "), (F.col("_order") + F.col("_shift")).cast("string"))
     return _document(placed, row_text(head), F.lit("CSV"), where)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.embed import DIM, embed
 from ..functions.text import text_key
-from ..plans.sizing import path_exists, spread
+from ..plans.sizing import broadcast_if_small, materialise, path_exists, spread
 
 CACHE_SCHEMA = "namespace string, content_hash string, embedding array<float>"
 
@@ -20,11 +20,15 @@ def embed_table(docs: DataFrame, id: str = "doc_id", text: str = "text", dim: in
 
 
 def save(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
-    """Write a store. ``overwrite`` replaces an older one, ``append`` adds to it."""
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Write a store. ``overwrite`` replaces an older one, ``append`` adds to it.
+
+    With ``partition_by`` the rows are rebalanced on those columns first: AQE merges small pieces
+    and splits a hot value, so neither many tiny files nor one huge task comes out.
+    """
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return path
+    df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
     return path
 
 
@@ -38,22 +42,27 @@ def cache_or_empty(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([], CACHE_SCHEMA)
 
 
-def cache_misses(docs: DataFrame, cache: DataFrame, namespace: str, text: str = "text") -> DataFrame:
+def cache_misses(docs: DataFrame, cache: DataFrame, namespace: str, text: str = "text",
+                 id: str = "doc_id") -> DataFrame:
     """Distinct texts without a cached vector: ``(content_hash, text)``.
 
-    Copies of a text meet in one group, combined in each task before the shuffle, so a text that
-    makes up a third of the corpus leaves each task once.
+    Only hashes and ids are compared, and copies are combined in each task before the shuffle, so
+    a text that makes up a third of the corpus leaves each task once. Texts are then fetched for
+    the misses alone.
     """
-    distinct = docs.groupBy(text_key(text).alias("content_hash")).agg(F.first(text).alias("text"))
+    firsts = docs.groupBy(text_key(text).alias("content_hash")).agg(F.min(id).alias(id))
     known = cache.where(F.col("namespace") == namespace).select("content_hash")
-    return distinct.join(known, "content_hash", "left_anti")
+    missing = materialise(firsts.join(known, "content_hash", "left_anti"))
+    return docs.select(id, F.col(text).alias("text")).join(
+        broadcast_if_small(missing, "128"), id).select("content_hash", "text")
 
 
 def fill_cache(spark: SparkSession, docs: DataFrame, path: str, namespace: str, dim: int = DIM,
-               embedder=embed, text: str = "text") -> DataFrame:
+               embedder=embed, text: str = "text", id: str = "doc_id") -> DataFrame:
     """Compute and append what is missing, then read every vector from the cache."""
     cache = cache_or_empty(spark, path)
-    fresh = cache_misses(docs, cache, namespace, text).select(
+    missed = cache_misses(docs, cache, namespace, text, id)
+    fresh = spread(missed, "content_hash").select(
         F.lit(namespace).alias("namespace"), "content_hash", embedder(F.col("text"), dim).alias("embedding"))
     save(fresh, path, "append")
     vectors = load(spark, path).where(F.col("namespace") == namespace).select("content_hash", "embedding")

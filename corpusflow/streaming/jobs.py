@@ -56,8 +56,7 @@ def ingest(stream: DataFrame, root: str, namespace: str = "default") -> None:
         if path_exists(spark, f"{root}/vectors"):
             known = _all(spark, root, "vectors").where(F.col("batch") < batch).select(
                 "namespace", "content_hash", "embedding")
-        fresh = cache_misses(docs, known, namespace)
-        vectors = embed_table(fresh, "content_hash", "text").select(
+        vectors = embed_table(cache_misses(docs, known, namespace), "content_hash", "text").select(
             F.lit(namespace).alias("namespace"), F.col("id").alias("content_hash"), "embedding")
         _put(vectors, root, "vectors", batch)
 

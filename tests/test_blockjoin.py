@@ -69,7 +69,10 @@ def test_small_tiles_keep_ties_in_id_order(spark, data, monkeypatch):
     assert {(a, b) for a, b, _ in found} == expected
 
 
-def test_groups_thresholds_order_and_nulls(spark, data):
+@pytest.mark.parametrize("rows_per_block", [16384, 40])
+def test_groups_thresholds_order_and_nulls(spark, data, rows_per_block, monkeypatch):
+    monkeypatch.setattr(blockjoin, "CORPUS_ROWS", rows_per_block)
+    monkeypatch.setattr(blockjoin, "QUERY_ROWS", rows_per_block)
     ids, c, _, _ = data
     tenants = [("hot",) if i % 3 else (f"t{i % 5}",) for i in ids]
     rows = frame(spark, ids, [None if i == 5 else v for i, v in zip(ids, c)], "id", tenants)
@@ -102,7 +105,8 @@ def test_approximate_search_with_all_cells_is_exact_and_recall_holds(spark, data
     asked, rows = frame(spark, q_ids, q, "query_id"), frame(spark, ids, c)
     model = R.train_cells(rows, cells=6)
     exact = R.nearest(asked, rows, 4)
-    every = R.nearest_approximate(asked, rows, 4, model, probes=6)
+    index = R.with_cell(model, rows)
+    every = R.nearest_approximate(asked, index, 4, model, probes=6)
     assert got(every) == got(exact)
-    some = R.recall(R.nearest_approximate(asked, rows, 4, model, probes=3), exact).collect()
+    some = R.recall(R.nearest_approximate(asked, index, 4, model, probes=3), exact).collect()
     assert sum(r.n_found for r in some) >= 0.6 * sum(r.n_exact for r in some)
