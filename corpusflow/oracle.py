@@ -1,7 +1,6 @@
 """SQL that states what each registered query must return, for DuckDB on the same tables.
 
-Keys without SQL: the splitters that pack pieces recursively, their derived tables, and the
-approximate index. Those are tested against brute force in ``tests``.
+Only the approximate index has no SQL; its recall is measured against the exact search.
 """
 
 from __future__ import annotations
@@ -263,9 +262,82 @@ SELECT conv_id, turn, text, 1, 'manual.md', 'Markdown', 'Full Document' FROM con
 
 # --- chunking --------------------------------------------------------------------------------
 
-ORACLE["semantic_chunk"] = f"""
-WITH sent AS (SELECT doc_id, lang, generate_subscripts(s, 1) AS n, unnest(s) AS txt
-              FROM (SELECT doc_id, lang, {_sentences('text')} AS s FROM documents)),
+
+def _recursive(name: str, source: str, size: int, overlap: int) -> str:
+    """CTEs that end in ``name`` (id, chunk_no, chunk), from ``source`` rows (id, txt).
+
+    Stated by character offsets. Each separator in turn cuts the texts that are still too long;
+    pieces that fit form runs between the ones that do not. Within a run every possible chunk
+    start has one end and one next start, and the chunks are those reached from the first piece.
+    """
+    n, out, runs = name, [f"{name}_0 AS (SELECT id, 0 AS b, txt FROM {source})"], []
+    for level, mark in enumerate(("chr(10) || chr(10)", "chr(10)", "' '")):
+        here, after = f"{n}_{level}", f"{n}_{level + 1}"
+        out.append(f"""
+{here}p AS (SELECT id, b AS node, txt, string_split(txt, {mark}) AS parts FROM {here} WHERE contains(txt, {mark})),
+{here}q AS (SELECT id, node, generate_subscripts(parts, 1) AS i, unnest(parts) AS part FROM {here}p),
+{here}r AS (SELECT id, node, i, CASE WHEN i > 1 THEN {mark} ELSE '' END || part AS txt FROM {here}q),
+{here}s AS (SELECT *, node + coalesce(sum(length(txt)) OVER (PARTITION BY id, node ORDER BY i
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b,
+              sum(CASE WHEN length(txt) > {size} THEN 1 ELSE 0 END) OVER (PARTITION BY id, node ORDER BY i) AS run
+       FROM {here}r WHERE txt <> ''),
+{after} AS (SELECT id, b, txt FROM {here} WHERE NOT contains(txt, {mark})
+            UNION ALL SELECT id, b, txt FROM {here}s WHERE length(txt) > {size})""")
+        runs.append(f"SELECT id, {level} AS level, node, run, b, b + length(txt) AS e FROM {here}s WHERE length(txt) <= {size}")
+    out.append(f"""
+{n}_win AS (SELECT id, b + w AS b, b + least(w + {size}, length(txt)) AS e
+            FROM (SELECT id, b, txt, unnest(range(0, greatest(length(txt) - {overlap}, 1), {size - overlap})) AS w
+                  FROM {n}_3 WHERE txt <> '')),
+{n}_leaf AS (SELECT *, row_number() OVER (PARTITION BY id, level, node, run ORDER BY b) AS i,
+                    lead(e) OVER (PARTITION BY id, level, node, run ORDER BY b) AS next_e FROM ({' UNION ALL '.join(runs)})),
+{n}_end AS (SELECT x.id, x.level, x.node, x.run, x.i, x.b, y.e, y.next_e,
+                   greatest(y.e - {overlap}, y.next_e - {size}) AS from_b, x.b + {size} AS lim
+            FROM (SELECT *, b + {size} AS lim FROM {n}_leaf) x ASOF JOIN {n}_leaf y
+              ON x.id = y.id AND x.level = y.level AND x.node = y.node AND x.run = y.run AND x.lim >= y.e),
+{n}_next AS (SELECT x.*, y.i AS next_i FROM {n}_end x ASOF LEFT JOIN {n}_leaf y
+              ON x.id = y.id AND x.level = y.level AND x.node = y.node AND x.run = y.run AND x.from_b <= y.b),
+{n}_walk AS (
+  SELECT id, level, node, run, b, e, CASE WHEN next_e IS NOT NULL THEN next_i END AS next_i FROM {n}_next WHERE i = 1
+  UNION ALL
+  SELECT t.id, t.level, t.node, t.run, t.b, t.e, CASE WHEN t.next_e IS NOT NULL THEN t.next_i END
+  FROM {n}_walk w JOIN {n}_next t ON t.id = w.id AND t.level = w.level AND t.node = w.node AND t.run = w.run AND t.i = w.next_i),
+{n}_cut AS (SELECT id, b, e FROM {n}_walk UNION ALL SELECT id, b, e FROM {n}_win),
+{n}_txt AS (SELECT c.id, b, regexp_replace(substr(txt, (b + 1)::BIGINT, (e - b)::BIGINT), '^\\s+|\\s+$', '', 'g') AS chunk
+            FROM {n}_cut c JOIN {source} USING (id)),
+{n} AS (SELECT id, (row_number() OVER (PARTITION BY id ORDER BY b) - 1)::INT AS chunk_no, chunk
+        FROM {n}_txt WHERE chunk <> '')""")
+    return ",\n".join(out)
+
+
+_DOCS = "docs AS (SELECT doc_id AS id, text AS txt FROM documents)"
+ORACLE["recursive_chunk"] = f"""WITH RECURSIVE {_DOCS}, {_recursive('rc', 'docs', 300, 30)}
+SELECT id AS doc_id, lang, chunk_no, chunk, length(chunk)::INT AS n_chars FROM rc JOIN documents ON doc_id = id"""
+ORACLE["chunk_overlap"] = f"""
+WITH RECURSIVE {_DOCS}, {_recursive('a', 'docs', 70, 0)}, {_recursive('z', 'docs', 70, 25)},
+both_ AS (SELECT 0 AS overlap, id, chunk FROM a UNION ALL SELECT 25, id, chunk FROM z)
+SELECT overlap, lang, count(*) AS n_chunks, sum(length(chunk))::BIGINT AS n_chars
+FROM both_ JOIN documents ON doc_id = id GROUP BY overlap, lang"""
+
+_FAMILY = f"""{_DOCS}, {_recursive('pa', 'docs', 600, 50)},
+parents AS (SELECT (id * 1048576 + chunk_no)::BIGINT AS id, id AS doc_id, chunk_no AS parent_no, chunk AS txt FROM pa),
+{_recursive('ch', 'parents', 150, 15)},
+children AS (SELECT p.doc_id, p.id AS parent_id, c.chunk_no AS child_no, c.chunk AS child, p.id * 1024 + c.chunk_no AS child_id
+             FROM ch c JOIN parents p ON p.id = c.id)"""
+ORACLE["parent_child_chunks"] = f"WITH RECURSIVE {_FAMILY} SELECT doc_id, parent_id, child_no, child, child_id FROM children"
+ORACLE["parent_retrieve"] = f"""
+WITH RECURSIVE {_FAMILY},
+{_sparse('cq', '(SELECT item_id AS query_id, text AS txt FROM benchmark)', 'query_id')},
+{_sparse('cd', '(SELECT child_id AS id, child AS txt FROM children)', 'id')},
+cs AS (SELECT query_id, id, round(sum(q.w * d.w), 6) AS score FROM cq q JOIN cd d USING (b) GROUP BY query_id, id),
+{_top('best', 'cs', 4)},
+hit AS (SELECT query_id, id // 1024 AS parent_id, min(rank) AS best_child_rank, max(score) AS score FROM best GROUP BY ALL)
+SELECT query_id, parent_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY best_child_rank, parent_id) AS rank,
+       best_child_rank, score, txt AS parent
+FROM hit JOIN parents p ON p.id = parent_id"""
+
+_SEMANTIC = f"""
+sent AS (SELECT doc_id, lang, generate_subscripts(s, 1) AS n, unnest(s) AS txt
+         FROM (SELECT doc_id, lang, {_sentences('text')} AS s FROM documents)),
 {_sparse('sv', 'sent', 'doc_id, n')},
 dots AS (SELECT a.doc_id, b.n, sum(a.w * b.w) AS dot
          FROM sv a JOIN sv b ON a.doc_id = b.doc_id AND b.n = a.n + 1 AND a.b = b.b GROUP BY ALL),
@@ -278,10 +350,24 @@ lim AS (SELECT doc_id, g[floor(place)::INT + 1]
 cut AS (SELECT sent.doc_id, lang, sent.n, txt,
                sum(CASE WHEN gap > lim THEN 1 ELSE 0 END) OVER (PARTITION BY sent.doc_id ORDER BY sent.n) AS c
         FROM sent LEFT JOIN gaps ON gaps.doc_id = sent.doc_id AND gaps.n = sent.n
-        LEFT JOIN lim ON lim.doc_id = sent.doc_id)
-SELECT doc_id, lang, c::INT AS chunk_no, string_agg(txt, ' ' ORDER BY n) AS chunk,
-       length(string_agg(txt, ' ' ORDER BY n))::INT AS n_chars
-FROM cut GROUP BY doc_id, lang, c"""
+        LEFT JOIN lim ON lim.doc_id = sent.doc_id),
+sem AS (SELECT doc_id, lang, c::INT AS chunk_no, string_agg(txt, ' ' ORDER BY n) AS chunk FROM cut GROUP BY doc_id, lang, c)"""
+ORACLE["semantic_chunk"] = f"""
+WITH {_SEMANTIC} SELECT doc_id, lang, chunk_no, chunk, length(chunk)::INT AS n_chars FROM sem"""
+ORACLE["smart_chunk"] = f"""
+WITH RECURSIVE {_SEMANTIC}, {_DOCS}, {_recursive('rc', 'docs', 500, 50)},
+bad AS (SELECT doc_id FROM sem GROUP BY doc_id HAVING max(length(chunk)) > 1000
+        UNION SELECT doc_id FROM sent WHERE len({_tokens('txt')}) = 0),
+both_ AS (SELECT doc_id, false AS used_fallback, chunk_no, chunk FROM sem WHERE doc_id NOT IN (SELECT doc_id FROM bad)
+          UNION ALL SELECT id, true, chunk_no, chunk FROM rc WHERE id IN (SELECT doc_id FROM bad))
+SELECT b.doc_id, d.lang, used_fallback, chunk_no, chunk, length(chunk)::INT AS n_chars
+FROM both_ b JOIN documents d ON d.doc_id = b.doc_id"""
+ORACLE["chunk_strategy_stats"] = f"""
+WITH RECURSIVE {_SEMANTIC}, {_DOCS}, {_recursive('rc', 'docs', 150, 20)},
+rows_ AS (SELECT 'semantic' AS strategy, doc_id, chunk FROM sem UNION ALL SELECT 'recursive', id, chunk FROM rc)
+SELECT strategy, lang, count(*) AS n_chunks, round(avg(length(chunk)), 6) AS avg_chars,
+       min(length(chunk))::INT AS min_chars, max(length(chunk))::INT AS max_chars
+FROM rows_ JOIN documents USING (doc_id) GROUP BY strategy, lang"""
 
 
 def _unescape(expr: str) -> str:

@@ -7,8 +7,7 @@ from check import compare, connect
 from conftest import SF
 
 SQL = entry.oracle_sql()
-WITHOUT_SQL = {"ann_recall", "parent_retrieve", "recursive_chunk", "chunk_overlap", "smart_chunk",
-               "parent_child_chunks", "chunk_strategy_stats"}
+WITHOUT_SQL = {"ann_recall"}
 
 
 @pytest.fixture(scope="module")
