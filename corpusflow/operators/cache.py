@@ -17,13 +17,18 @@ from ..plans.blockjoin import similar
 from ..plans.sizing import materialise
 
 THRESHOLD = 0.92
+# Fixed value: what marks an answer as cached.
 HIT_PREFIX = "[RESOLVED VIA SEMANTIC CACHE] "
 
 
 def lookup(requests: DataFrame, cache: DataFrame, threshold: float = THRESHOLD,
            by: list[str] | None = None, **options) -> DataFrame:
-    """Nearest cached entry per request when its cosine reaches the threshold, else null."""
-    found = similar(requests, cache, 1, metric="cosine", min_score=threshold, by=by, **options)
+    """Nearest cached entry per request when its cosine reaches the threshold, else null.
+
+    A cache that passes the size check is sent to the requests, so they are not shuffled.
+    """
+    found = similar(requests, cache, 1, metric="cosine", min_score=threshold, by=by,
+                    small_corpus=True, **options)
     found = found.select("query_id", F.col("id").alias("cache_id"), "score")
     rest = requests.drop(options.get("query_vec", "embedding"))
     return rest.join(found, "query_id", "left")

@@ -139,10 +139,21 @@ def parent_search(queries: DataFrame, docs: DataFrame, k: int = 4, *, id: str =
     return (F.broadcast(placed) if small else placed).join(parents, "parent_id")
 
 
+def cell_count(corpus: DataFrame, most: int = 4096) -> int:
+    """About the square root of the corpus size, so cells and rows per cell grow alike."""
+    return max(1, min(most, round(corpus.count() ** 0.5)))
+
+
 def train_cells(corpus: DataFrame, cells: int, vec: str = "embedding", seed: int = 7,
-                iterations: int = 8):
-    """K-means centres that cut the vector space into cells."""
-    points = corpus.select(array_to_vector(V.as_double(vec)).alias("features"))
+                iterations: int = 8, training_rows: int = 1_000_000):
+    """K-means centres that cut the vector space into cells.
+
+    The centres of a very large corpus are fitted on a random part of it; every row is then
+    assigned to a cell, so only the place of the borders depends on the part.
+    """
+    n = corpus.count()
+    part = corpus.sample(training_rows / n, seed) if n > training_rows else corpus
+    points = part.select(array_to_vector(V.as_double(vec)).alias("features"))
     return KMeans(k=cells, seed=seed, maxIter=iterations).fit(points)
 
 
@@ -165,7 +176,7 @@ def nearest_approximate(queries: DataFrame, index: DataFrame, k: int, model, pro
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
         "cell int, centre array<double>")
     routed = similar(queries, centres, probes, query_id=query_id, query_vec=vec, id="cell",
-                     vec="centre", metric="l2").select("query_id", F.col("id").cast("int").alias("cell"))
+                     vec="centre", metric="l2", small_corpus=True).select("query_id", F.col("id").cast("int").alias("cell"))
     asked = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(vec).alias("embedding"))
     probed = routed.join(asked, "query_id")
     cells = index.select("cell", F.col(id).alias("id"), F.col(vec).alias("embedding"))

@@ -9,10 +9,11 @@ from ..functions.text import word_count
 from ..plans.ranking import number_rows
 from ..plans.sizing import broadcast_if_small
 
-# Tokens per word, and prices per million tokens of the two tiers.
+# Tokens per word, prices per million tokens of the two tiers, message formats.
 TOKENS_PER_WORD = 1.33
 PRICES = [("simple", "llama-3.1-8b", 0.05, 0.08), ("complex", "llama-3.3-70b", 0.59, 0.79)]
 UNKNOWN_MODEL = "unknown-model"
+BLOCKED = "Blocked: Query estimation (%d tokens) exceeds budget cap (%d)."
 
 
 def token_estimate(text) -> Column:
@@ -24,8 +25,7 @@ def preflight(requests: DataFrame, budget: int, text: str = "text") -> DataFrame
     """Budget verdict before a request is sent; the limit itself is allowed."""
     checked = requests.withColumn("estimated_tokens", token_estimate(text))
     allowed = F.col("estimated_tokens") <= budget
-    reason = F.format_string("Blocked: Query estimation (%d tokens) exceeds budget cap (%d).",
-                             "estimated_tokens", F.lit(budget))
+    reason = F.format_string(BLOCKED, "estimated_tokens", F.lit(budget))
     return checked.withColumn("allowed", allowed).withColumn("reason", F.when(~allowed, reason))
 
 

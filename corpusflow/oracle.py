@@ -23,7 +23,7 @@ def _sentences(text: str) -> str:
 
 def _top(name: str, source: str, k: int, by: str = "query_id") -> str:
     return f"""{name} AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY score DESC, id) AS rank
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY score DESC, id)::INT AS rank
                  FROM {source}) WHERE rank <= {k})"""
 
 
@@ -76,7 +76,7 @@ def _fuse(lists: list[tuple[str, float]], k: int | None, first_rank: int = 0) ->
 u AS ({parts}),
 f AS (SELECT query_id, arg_min(id, list_no * 1000000 + rank) AS id, round(sum(part), 9) AS score
       FROM u JOIN documents d ON d.doc_id = u.id GROUP BY query_id, d.text)
-SELECT * FROM (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank,
+SELECT * FROM (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INT AS rank,
                       score FROM f) {keep}"""
 
 
@@ -250,7 +250,7 @@ FROM c JOIN benchmark b ON b.item_id = query_id"""
 ORACLE["source_attribution"] = f"""WITH {_texts(5)}, {_provenance('r')},
 k AS (SELECT query_id, file_name, file_type, CASE location WHEN 'Full Document' THEN 'N/A' ELSE location END AS location,
              min(rank) AS first_rank FROM prov GROUP BY ALL)
-SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY first_rank, file_name, file_type, location) AS source_no FROM k"""
+SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY first_rank, file_name, file_type, location)::INT AS source_no FROM k"""
 ORACLE["normalize_metadata"] = f"""
 WITH d AS (SELECT doc_id AS id, source, lang, text FROM documents), {_provenance('d')}
 SELECT id, file_name, file_type, location, length(text)::INT AS text_chars FROM prov"""
@@ -331,7 +331,7 @@ WITH RECURSIVE {_FAMILY},
 cs AS (SELECT query_id, id, round(sum(q.w * d.w), 6) AS score FROM cq q JOIN cd d USING (b) GROUP BY query_id, id),
 {_top('best', 'cs', 4)},
 hit AS (SELECT query_id, id // 1024 AS parent_id, min(rank) AS best_child_rank, max(score) AS score FROM best GROUP BY ALL)
-SELECT query_id, parent_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY best_child_rank, parent_id) AS rank,
+SELECT query_id, parent_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY best_child_rank, parent_id)::INT AS rank,
        best_child_rank, score, txt AS parent
 FROM hit JOIN parents p ON p.id = parent_id"""
 

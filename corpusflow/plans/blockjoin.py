@@ -1,9 +1,11 @@
 """Similarity joins evaluated block by block, so that pairs are never rows.
 
-Two plans give the same result:
+Three plans give the same result:
 
 * the query side passes a size check: it is sent to every task once, the corpus is read in place
   and each task returns only its own best ``k`` rows per query;
+* the corpus is known to be small (index centres, a small cache): it is sent instead, and each
+  task finishes its own queries without a shuffle;
 * otherwise both sides are cut into blocks of bounded size (the fragment-and-replicate grid of
   Okcan & Riedewald 2011) and each pair of blocks is one small group. Groups named by ``by`` (a
   tenant, a cell of an index) are cut the same way, so one hot group becomes many tasks.
@@ -29,7 +31,7 @@ CORPUS_ROWS = 16384
 MAX_QUERIES_SENT = 8192
 TILE_CELLS = 4_000_000
 NONE = -np.inf
-SCHEMA = "query_id bigint, id bigint, score double"
+SCHEMA = "query_id bigint, id bigint, score double, rank int"
 
 
 @dataclass(frozen=True)
@@ -93,13 +95,15 @@ class _Best:
 
     def rows(self, query_ids: np.ndarray):
         r, c = np.nonzero(self.scores > NONE)
-        return _rows(query_ids[r], self.ids[r, c], self.scores[r, c])
+        return _rows(query_ids[r], self.ids[r, c], self.scores[r, c], c + 1)
 
 
-def _rows(query_ids, ids, scores) -> pa.RecordBatch:
+def _rows(query_ids, ids, scores, ranks=None) -> pa.RecordBatch:
+    ranks = np.zeros(len(ids)) if ranks is None else ranks
     return pa.RecordBatch.from_arrays(
-        [pa.array(query_ids, pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())],
-        names=["query_id", "id", "score"])
+        [pa.array(query_ids, pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64()),
+         pa.array(np.asarray(ranks).astype(np.int32))],
+        names=["query_id", "id", "score", "rank"])
 
 
 def _masked(how: Scoring, query_ids, queries, ids, corpus) -> np.ndarray:
@@ -163,6 +167,17 @@ def _send_queries(queries: DataFrame, corpus: DataFrame, how: Scoring) -> DataFr
     return corpus.mapInArrow(task, SCHEMA)
 
 
+def _send_corpus(queries: DataFrame, corpus: DataFrame, how: Scoring) -> DataFrame:
+    sent = corpus.sparkSession.sparkContext.broadcast(_read(how, corpus.toArrow(), "id"))
+
+    def task(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield from _compare(how, *_read(how, batch, "query_id"), [sent.value])
+
+    return queries.mapInArrow(task, SCHEMA)
+
+
 def _grid(queries: DataFrame, corpus: DataFrame, by: list[str], how: Scoring) -> DataFrame:
     # New column identities: both sides may come from one table.
     queries = queries.select(*[F.col(c).alias(c) for c in queries.columns])
@@ -202,11 +217,12 @@ def similar(queries: DataFrame, corpus: DataFrame, k: int | None = None, *,
             vec: str = "embedding", by: list[str] | None = None, metric: str = "dot",
             encoding: str = "dense", dim: int = DIM, min_score: float | None = None,
             exclude_self: bool = False, earlier_only: bool = False,
-            send_limit: int = MAX_QUERIES_SENT) -> DataFrame:
+            send_limit: int = MAX_QUERIES_SENT, small_corpus: bool = False) -> DataFrame:
     """Exact ``(query_id, id, score[, rank])`` of each query's best ``k`` corpus rows.
 
     ``k=None`` returns every score, for matrices and full rankings. ``by`` restricts matches to
     equal values of the named columns. ``earlier_only`` keeps corpus ids below the query id.
+    ``small_corpus`` asks to send the corpus, which is done when its size check holds.
     """
     by = list(by or [])
     how = Scoring(metric, encoding, dim, k, min_score, exclude_self, earlier_only)
@@ -215,13 +231,18 @@ def similar(queries: DataFrame, corpus: DataFrame, k: int | None = None, *,
     left = queries.select(
         F.col(query_id).cast("bigint").alias("query_id"), F.col(query_vec).alias("vec"), *by)
     right = corpus.select(F.col(id).cast("bigint").alias("id"), F.col(vec).alias("vec"), *by)
-    if not by and fits_broadcast(left, "8 * size(vec) + 64", send_limit):
+    width = "8 * size(vec) + 64"
+    if not by and small_corpus and fits_broadcast(right, width, MAX_QUERIES_SENT):
+        scored = _send_corpus(left, right, how)
+        return scored.select("query_id", "id", *(["rank"] if k else []), "score")
+    if not by and fits_broadcast(left, width, send_limit):
         scored = _send_queries(left, right, how)
     else:
         if not by:
             left, right, by = (left.withColumn("_all", F.lit(0)),
                                right.withColumn("_all", F.lit(0)), ["_all"])
         scored = _grid(left, right, by, how)
+    scored = scored.drop("rank")  # the rank inside one task or block
     if k is None:
         return scored
     ranked = top_k(scored, k, ["query_id"], [F.desc("score"), F.asc("id")])

@@ -146,10 +146,12 @@ def multi_query_union(spark, sf):
 @query
 def ann_recall(spark, sf):
     corpus, queries = vectors(spark, sf), vector_queries(spark, sf)
-    model = R.train_cells(corpus, cells=16)
+    cells = R.cell_count(corpus)
+    model = R.train_cells(corpus, cells)
     root = scratch_path(spark, "cells")
     stores.save(R.with_cell(model, corpus), root, partition_by=["cell"])
-    found = R.nearest_approximate(queries, stores.load(spark, root), 5, model, probes=6, exclude_self=True)
+    found = R.nearest_approximate(queries, stores.load(spark, root), 5, model,
+                                  probes=max(1, cells // 3), exclude_self=True)
     return R.recall(found, R.nearest(queries, corpus, 5, exclude_self=True))
 
 
