@@ -86,7 +86,7 @@ def bm25(queries: DataFrame, docs: DataFrame, k: int, *, id: str = "doc_id", tex
     index = index_documents(docs, id, text) if index is None else index
     wanted = query_terms(queries, query_id, query)
     # A query has fewer distinct terms than characters, so its text bounds the rows to send.
-    small = fits_broadcast(queries, f"length({query})", send_limit, MAX_QUERY_CHARS_SENT)
+    small = fits_broadcast(queries, f"length(`{query}`)", send_limit, MAX_QUERY_CHARS_SENT)
     only = wanted if small else None
     stats = term_stats(index, only) if stats is None else stats
     totals = corpus_stats(index) if totals is None else totals

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -88,7 +87,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
+    # Counted in the JVM: the list of a large corpus is long.
+    if len(df._jdf.inputFiles()) >= cores:
         return df
     return df.repartition(cores, *[F.col(k) for k in keys])
 
@@ -98,7 +98,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
-def local_name(path: str) -> str:
-    return os.path.basename(path.rstrip("/"))

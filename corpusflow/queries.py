@@ -558,7 +558,8 @@ def telemetry_rows(spark, sf):
 def telemetry_json(spark, sf):
     """Log lines written to a text sink and read back."""
     rows = _telemetry(spark, sf)
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    # The event times are UTC wall-clock times, in whatever zone the session is.
+    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
     failed = F.col("status") != "SUCCESS"
     base = {"timestamp": stamp, "logger_name": F.lit("requests"),
             "log_level": F.when(failed, F.lit("ERROR")).otherwise(F.lit("INFO")),
