@@ -67,7 +67,7 @@ class Scoring:
         return np.round(out, 6) + 0.0
 
 
-class _Best:
+class BestRows:
     """Best ``k`` (score desc, id asc) per query over all tiles seen so far."""
 
     def __init__(self, rows: int, k: int):
@@ -127,7 +127,7 @@ def _compare(how: Scoring, query_ids: np.ndarray, queries: np.ndarray, blocks):
     step_q = min(len(query_ids), QUERY_ROWS) or 1
     step_c = max(TILE_CELLS // step_q, 1)
     spans = [slice(a, a + step_q) for a in range(0, len(query_ids), step_q)]
-    best = [_Best(len(query_ids[s]), how.k) for s in spans] if how.k else None
+    best = [BestRows(len(query_ids[s]), how.k) for s in spans] if how.k else None
     for ids, corpus in blocks:
         for at in range(0, len(ids), step_c):
             part_ids, part = ids[at:at + step_c], corpus[at:at + step_c]

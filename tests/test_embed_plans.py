@@ -90,14 +90,14 @@ def test_many_files_are_read_in_place(spark, tmp_path):
     assert "Exchange" not in plan(sizing.spread(spark.read.parquet(str(tmp_path / "many")), "id"))
 
 
-def test_bm25_scores_inside_the_document_task(spark):
-    docs, queries = spark.read.parquet(f"{SF}/documents.parquet"), spark.createDataFrame(
-        [(1, "the of")], "query_id bigint, query string")
-    index = S.index_documents(docs)
-    weights = S.query_terms(queries)
-    scored = S.postings(index, weights).join(F.broadcast(weights), "term").groupBy("id", "query_id").count()
-    above = plan(scored).split("Generate")[0]
-    assert "HashAggregate" in above and "Exchange hashpartitioning" not in above
+def test_bm25_shuffles_no_tokens(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.repartition(10).write.parquet(str(tmp_path / "docs"))
+    queries = spark.createDataFrame([(1, "the of")], "query_id bigint, query string")
+    found = S.bm25(queries, spark.read.parquet(str(tmp_path / "docs")), 3)
+    above, below = plan(found).split("MapInArrow")
+    assert above.count("Exchange") == above.count("Exchange hashpartitioning(query_id") == 1
+    assert "Exchange" not in below
 
 
 def test_size_checks(spark):

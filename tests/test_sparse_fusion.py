@@ -56,7 +56,8 @@ def test_bm25_in_both_plans_equals_brute_force(spark):
         assert rows(found) == sorted(brute(queries, docs, 3))
 
 
-def test_hot_copies_and_salted_plan_agree(spark):
+def test_hot_copies_and_salted_plan_agree(spark, monkeypatch):
+    monkeypatch.setattr(S, "TILE_CELLS", 50)
     docs = ["the same words again"] * 200 + [f"word{i} again" for i in range(100)]
     queries = ["the same again word5", "again"]
     a = S.bm25(asked(spark, queries), corpus(spark, docs), 5)
