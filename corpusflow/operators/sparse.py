@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.text import tokens
 from ..plans.blockjoin import SCHEMA, TILE_CELLS, BestRows
 from ..plans.ranking import explode_list, top_k
-from ..plans.sizing import fits_broadcast, spread
+from ..plans.sizing import fits_broadcast, materialise, spread
 
 K1 = 1.5
 B = 0.75
@@ -53,6 +53,22 @@ def corpus_stats(index: DataFrame) -> DataFrame:
     return index.agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_terms").alias("sum_terms"))
 
 
+def wanted_stats(index: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``term_stats`` of the wanted terms and ``corpus_stats``, from one pass over the corpus.
+
+    Each document adds one null term that carries its length.
+    """
+    marked = explode_list(index, ["n_terms"], F.array_append(
+        F.array_distinct("terms"), F.lit(None).cast("string")), "term")
+    known = F.broadcast(wanted.select("term").distinct().withColumn("hit", F.lit(True)))
+    kept = marked.join(known, "term", "left").where(F.col("hit") | F.col("term").isNull())
+    counts = materialise(kept.groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("n_terms").alias("sum_terms")))
+    totals = counts.where(F.col("term").isNull()).agg(
+        F.coalesce(F.sum("df"), F.lit(0)).alias("n_docs"), F.sum("sum_terms").alias("sum_terms"))
+    return counts.where(F.col("term").isNotNull()).select("term", "df"), totals
+
+
 def merge_stats(*parts: DataFrame) -> DataFrame:
     """Add up ``term_stats`` tables of disjoint document batches."""
     merged = parts[0]
@@ -150,9 +166,11 @@ def bm25(queries: DataFrame, docs: DataFrame, k: int, *, id: str = "doc_id", tex
     wanted = query_terms(queries, query_id, query)
     # A query has fewer distinct terms than characters, so its text bounds the rows to send.
     small = fits_broadcast(queries, f"length(`{query}`)", send_limit, MAX_QUERY_CHARS_SENT)
-    wanted = F.broadcast(wanted) if small else wanted
+    if small and stats is None and totals is None:
+        stats, totals = wanted_stats(index, wanted)
     stats = term_stats(index, wanted if small else None) if stats is None else stats
     totals = corpus_stats(index) if totals is None else totals
+    wanted = F.broadcast(wanted) if small else wanted
     n_docs, sum_terms = totals.first()
     avg_terms = float(sum_terms or 1) / max(n_docs, 1)
     weighted = stats.join(wanted, "term").select(
