@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .sizing import materialise
+from .sizing import broadcast_if_small, materialise
 
 
 def top_k(df: DataFrame, k: int, by: list[str], order: list[Column], rank: str = "rank") -> DataFrame:
@@ -38,26 +38,29 @@ def explode_list(df: DataFrame, keep: list, items, value: str, position: str | N
 
 def number_rows(df: DataFrame, order: list[Column], by: list[str] | None = None,
                 name: str = "rank") -> DataFrame:
-    """1-based ``row_number`` over whole groups of any size.
+    """1-based ``row_number`` over whole groups of any size, with one shuffle of the rows.
 
-    Rows are range-partitioned on (group, order), so a hot group spreads over many tasks. The
-    sorted rows are checkpointed to fix the partition each row sits in, one small count per
-    (partition, group) gives the offsets, and each task numbers only its own rows. ``order``
-    must be total, which also lets the range bounds cut inside ties of its leading columns.
+    Rows are range-partitioned on (group, order), so a hot group spreads over many tasks, sorted
+    there and checkpointed, which fixes the place of each row. ``monotonically_increasing_id``
+    then gives that place (partition above, position below), and the runs of a group, at most
+    partitions + groups rows, turn places into ranks. ``order`` must be total, which also lets
+    the range bounds cut inside ties of its leading columns. Null groups are groups like others.
     """
     by = by or []
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    keys = [F.col(c) for c in by]
-    ranged = materialise(
-        df.repartitionByRange(parts, *keys, *order)
-        .withColumn("_part", F.spark_partition_id()))
-    # At most partitions + groups rows: a group spans several partitions only at its ends.
-    counts = ranged.groupBy("_part", *by).agg(F.count(F.lit(1)).alias("_n"))
+    keys = [*[F.col(c) for c in by], *order]
+    placed = (materialise(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys))
+              .withColumn("_at", F.monotonically_increasing_id())
+              .withColumn("_part", F.shiftright("_at", 33)))
+    runs = placed.groupBy("_part", *by).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    inside = W.partitionBy("_part", *by).orderBy(*order)
-    numbered = ranged.withColumn("_local", F.row_number().over(inside))
-    return (numbered.join(offsets, ["_part", *by])
-            .withColumn(name, (F.col("_local") + F.col("_offset")).cast("bigint"))
-            .drop("_part", "_local", "_offset"))
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1
+    runs = materialise(runs.select(F.col("_part").alias("_run"), *[F.col(c).alias(f"_by_{c}") for c in by],
+                                   shift.alias("_shift")))
+    same = F.col("_part") == F.col("_run")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return (placed.join(broadcast_if_small(runs), same)
+            .withColumn(name, F.col("_at") + F.col("_shift"))
+            .drop("_at", "_part", "_run", "_shift", *[f"_by_{c}" for c in by]))

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from check import compare, connect
 from conftest import SF
+from corpusflow.queries import QUERIES
 
 SQL = entry.oracle_sql()
 WITHOUT_SQL = {"ann_recall"}
@@ -16,7 +17,7 @@ def con():
 
 
 def test_only_the_known_keys_lack_sql():
-    assert set(entry.queries()) - set(SQL) == WITHOUT_SQL
+    assert set(QUERIES) - set(SQL) == WITHOUT_SQL
     assert set(SQL) <= set(entry.queries())
 
 
