@@ -251,6 +251,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     linked = roots.join(nodes, "fp")
     named = linked.groupBy("root").agg(F.min("least").alias("named"))
     labels = nodes.join(linked.select("fp", "root").join(named, "root").select("fp", "named"), "fp", "left")
-    labels = labels.select("fp", F.coalesce("named", "least").alias("component_id"))
+    # Written first, so that the join below stands alone and a fingerprint of very many copies can be split.
+    labels = stored(labels.select("fp", F.coalesce("named", "least").alias("component_id")), "components")
     return rows.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
