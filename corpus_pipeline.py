@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import decontaminate, language_id, mixing, sharding, simhash
 from corpusflow.llm.common import stored, table
+from corpusflow.plans.sizing import broadcast_if_small
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,19 +26,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Only ids of documents to drop meet the texts. An id that stands on several rows keeps one.
     """
-    found = stored(simhash.near_duplicates(docs), "groups")
-    drop = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
-    twice = stored(found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated-ids")
-    once = kept.join(twice, "doc_id", "left_anti").select(*docs.columns)
-    again = kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return once.unionByName(again)
+    said = simhash.near_duplicates(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max(F.col("doc_id") != F.col("component_id")).alias("_drop"), (F.count(F.lit(1)) > 1).alias("_twice"))
+    said = stored(said.where("_drop OR _twice").withColumnRenamed("doc_id", "_id"), "decisions")
+    left = docs.join(broadcast_if_small(said), F.col("doc_id") == F.col("_id"), "left").where("NOT coalesce(_drop, false)")
+    once = left.where("NOT coalesce(_twice, false)").select(*docs.columns)
+    if said.where("_twice AND NOT _drop").isEmpty():
+        return once
+    return once.unionByName(left.where("_twice").select(*docs.columns).dropDuplicates(["doc_id"]))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark item, also with other numbers, names or units."""
     found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    named = stored(found.select("doc_id").distinct(), "leaks")
+    return docs.join(broadcast_if_small(named), "doc_id", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from .common import fold_of, fresh
 from .subword import alphabet, chosen, grams, pieces
 
 ORDERS = (1, 4)     # lengths of n-grams
-BITS = 14           # log2 of the number of buckets
+BITS = 18           # log2 of the number of buckets, many more than a sample fills
 WIDTH = 16          # of a vector
 SAMPLE = 2000       # labelled rows that the model learns from, at most
 LEAST = 0.5         # calibrated probability under which a document is rejected
@@ -63,25 +63,23 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 def bag(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Buckets of each text with their shares in it."""
-    counts: dict[int, np.ndarray] = {}
+    found: dict[int, list[np.ndarray]] = {}
     for codes, owners, starts in pieces(texts, alphabet()):
-        ends = [*starts[1:], len(codes)]
+        ends = [*starts[1:].tolist(), len(codes)]
         for at in grams(codes, *ORDERS, BITS):
-            for i, a, b in zip(owners.tolist(), starts, ends, strict=True):
-                got = np.bincount(at[a:b], minlength=(1 << BITS) + 1)[:1 << BITS]
-                counts[i] = counts[i] + got if i in counts else got
+            for i, a, b in zip(owners.tolist(), starts.tolist(), ends, strict=True):
+                found.setdefault(i, []).append(at[a:b][at[a:b] < 1 << BITS])
     for i in range(len(texts)):
-        c = counts.get(i, np.zeros(1, np.int64))
-        at = np.flatnonzero(c)
-        yield at.astype(np.int32), (c[at] / max(c.sum(), 1)).astype(np.float32)
+        at, n = np.unique(np.concatenate(found[i]) if i in found else np.zeros(0, np.int32), return_counts=True)
+        yield at.astype(np.int32), (n / max(n.sum(), 1)).astype(np.float32)
 
 
-def learn(labels: np.ndarray, x: np.ndarray, names: list[str], epochs: int = 30, seed: int = 11) -> LanguageModel:
+def learn(labels: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray]], names: list[str], epochs: int = 30,
+          seed: int = 11) -> LanguageModel:
     """Joint gradient descent on vectors and softmax; every fourth row only sets the temperature."""
     rng = np.random.default_rng(seed)
-    n, buckets = x.shape
-    kinds = len(names)
-    e = np.zeros((buckets, WIDTH), np.float32)
+    n, kinds = len(bags), len(names)
+    e = np.zeros((1 << BITS, WIDTH), np.float32)
     w = rng.normal(0, 1, (WIDTH, kinds)).astype(np.float32)
     kept_out = np.arange(n) % 4 == 3 if n >= 8 * kinds else np.zeros(n, bool)
     rows = np.flatnonzero(~kept_out)
@@ -91,21 +89,26 @@ def learn(labels: np.ndarray, x: np.ndarray, names: list[str], epochs: int = 30,
         order = rng.permutation(rows)
         for a in range(0, len(order), 64):
             at = order[a:a + 64]
-            xb, h = x[at], x[at] @ e
+            used, where = np.unique(np.concatenate([bags[i][0] for i in at]), return_inverse=True)
+            xb = np.zeros((len(at), len(used)), np.float32)  # the buckets of this batch alone
+            xb[np.repeat(np.arange(len(at)), [len(bags[i][0]) for i in at]), where] = np.concatenate([bags[i][1] for i in at])
+            h = xb @ e[used]
             g = softmax(h @ w)
             g[np.arange(len(at)), labels[at]] -= 1
             g *= (weight[labels[at]] / len(at))[:, None]
             back = g @ w.T
             w -= np.float32(0.02 * rate) * (h.T @ g)
-            e -= np.float32(rate) * (xb.T @ back)
-    z = x @ e @ w
+            e[used] -= np.float32(rate) * (xb.T @ back)
+    scores = np.concatenate([e @ w, np.zeros((1, kinds), np.float32)]).astype(np.float32)
     check = np.flatnonzero(kept_out) if kept_out.any() else rows
-    def loss(t):
-        p = softmax(t * z[check])[np.arange(len(check)), labels[check]]
+    z = np.array([share @ scores[at] for at, share in (bags[i] for i in check)]).reshape(-1, kinds)
+
+    def loss(t: float) -> float:
+        p = softmax(t * z)[np.arange(len(check)), labels[check]]
         return -(np.log(np.maximum(p, 1e-12)) * weight[labels[check]]).mean() + 1e-4 * t
+
     sharpness = min(np.geomspace(0.05, 20, 60), key=loss) if len(check) else 1.0
-    scores = np.concatenate([e @ w, np.zeros((1, kinds), np.float32)]).T.astype(np.float32).copy()
-    return LanguageModel(names, scores, float(sharpness))
+    return LanguageModel(names, scores.T.copy(), float(sharpness))
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang", *,
@@ -113,13 +116,16 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: st
     """Model of the languages named in ``label``, from about ``most`` rows, even over languages.
 
     Rows where ``held_out`` is true, or without text or label, teach nothing. The n-grams of the
-    sample are counted in tasks over whole texts; at most ``2**BITS`` buckets a row come back.
+    sample are counted in tasks over whole texts; a row comes back as its
+    buckets and their shares.
     """
     rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull())
     if held_out is not None:
         rows = rows.where(~held_out)
     rows = rows.select(F.col(doc_id).alias("id"), F.col(label).cast("string").alias("label"), F.col(text).alias("text"))
     keep, counts = chosen(rows.select("id", "label"), "label", "id", most)
+    if not counts:
+        return LanguageModel([], np.zeros((0, (1 << BITS) + 1), np.float32), 1.0)
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -130,15 +136,12 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: st
 
     got = rows.where(keep).select("label", "text").mapInArrow(count, "label string, at array<int>, share array<float>").toArrow()
     names = sorted(counts)
-    at, share = (got.column(c).to_pylist() for c in ("at", "share"))
+    bags = [(at.values.to_numpy(), share.values.to_numpy()) for at, share in zip(got.column("at"), got.column("share"), strict=True)]
     labels = [names.index(x) for x in got.column("label").to_pylist()]
     # A fixed order, whatever the order in which tasks end.
-    order = sorted(range(len(labels)), key=lambda i: (labels[i], len(at[i]), at[i][:50], share[i][:50]))
+    order = sorted(range(len(labels)), key=lambda i: (labels[i], len(bags[i][0]), bags[i][0].tobytes(), bags[i][1].tobytes()))
     order = [order[i] for i in np.random.default_rng(5).permutation(len(order))][:2 * most]
-    x = np.zeros((len(order), 1 << BITS), np.float32)
-    for k, i in enumerate(order):
-        x[k, at[i]] = share[i]
-    return learn(np.array([labels[i] for i in order], np.int64), x, names)
+    return learn(np.array([labels[i] for i in order], np.int64), [bags[i] for i in order], names)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = LEAST) -> DataFrame:
