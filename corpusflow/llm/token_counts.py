@@ -88,7 +88,7 @@ class Rollup:
         docs = F.when(op == "insert", 1).when(op == "delete", -1).otherwise(0).cast("long")
         tokens = F.when(op == "insert", after).when(op == "delete", -before).otherwise(after - before).cast("long")
         (changes.groupBy(*self.keys).agg(F.sum(docs).alias("n_docs"), F.sum(tokens).alias("n_tokens"), F.count(F.lit(1)).alias("n_changes"))
-         .coalesce(1).write.mode("overwrite").parquet(folder))  # one small row for each key
+         .write.mode("overwrite").parquet(folder))  # one small row for each key
         return True
 
     def totals(self) -> DataFrame:
