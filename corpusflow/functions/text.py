@@ -1,9 +1,13 @@
-"""Text expressions; all run inside the JVM."""
+"""Text expressions; all but the decoding of character references run inside the JVM."""
 
 from __future__ import annotations
 
+import html
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CUT = "\u0001"
 
@@ -42,26 +46,14 @@ def text_key(text) -> Column:
     return F.sha2(_col(text), 256)
 
 
-# The named character references the test pages use, and the XML ones.
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&amp;": "&",
-}
+@F.arrow_udf(T.StringType())
+def _unescaped(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string())
 
 
 def unescape(text) -> Column:
-    """Decode character references; ``&amp;`` goes last so nothing is decoded twice."""
-    out = _col(text)
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    """Decode all named and numeric character references of HTML 5, each once; a no-break space is a blank."""
+    return F.replace(_unescaped(_col(text)), F.lit("\u00a0"), F.lit(" "))
 
 
 # Dropped with their content, then every other tag.
@@ -69,16 +61,16 @@ HIDDEN_BLOCKS = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?--
 ANY_TAG = r"(?s)<[^>]*>"
 
 
-def html_text(html) -> Column:
+def html_text(page) -> Column:
     """Readable text of a page."""
-    visible = F.regexp_replace(_col(html), HIDDEN_BLOCKS, " ")
+    visible = F.regexp_replace(_col(page), HIDDEN_BLOCKS, " ")
     bare = F.regexp_replace(visible, ANY_TAG, " ")
     return F.trim(F.regexp_replace(unescape(bare), r"\s+", " "))
 
 
-def html_headed_text(html) -> Column:
+def html_headed_text(page) -> Column:
     """Page text with one line per block and ``#`` marks in front of h1..h3 titles."""
-    out = F.regexp_replace(_col(html), HIDDEN_BLOCKS, " ")
+    out = F.regexp_replace(_col(page), HIDDEN_BLOCKS, " ")
     out = F.regexp_replace(out, r"\s+", " ")
     for level in (1, 2, 3):
         out = F.regexp_replace(out, rf"(?i)<h{level}\b[^>]*>", "\n" + "#" * level + " ")

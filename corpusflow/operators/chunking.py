@@ -118,34 +118,14 @@ def explode_chunks(docs: DataFrame, parts, drop: list[str] = ()) -> DataFrame:
     return explode_list(docs, keep, parts, "chunk", "chunk_no").withColumn("n_chars", F.length("chunk"))
 
 
-# A child id is document | parent number | child number. A parent of up to 600 characters has
-# far fewer than 2**10 children; 2**20 parents are a document of hundreds of megabytes.
-PARENT_BITS = 20
-CHILD_BITS = 10
-
-
-def _packed(high: str, low: str, bits: int) -> Column:
-    return F.shiftleft(F.col(high).cast("bigint"), bits).bitwiseOR(F.col(low).cast("bigint"))
-
-
-def parent_of(child_id: Column) -> Column:
-    return F.shiftright(child_id, CHILD_BITS)
-
-
-def document_of(parent_id: Column) -> Column:
-    return F.shiftright(parent_id, PARENT_BITS)
-
-
 def parent_child(docs: DataFrame, id: str = "doc_id", text: str = "text", parent=(600, 50),
                  child=(150, 15)) -> tuple[DataFrame, DataFrame]:
-    """``(parents, children)``; each child names its parent. Ids pack document and position."""
+    """``(parents, children)``: a parent is ``(doc_id, parent_no)``, a child adds its ``child_no``."""
     cut = docs.select(F.col(id).alias("doc_id"), recursive(F.col(text), *parent).alias("parts"))
     parents = explode_list(cut, ["doc_id"], "parts", "parent", "parent_no")
-    parents = parents.withColumn("parent_id", _packed("doc_id", "parent_no", PARENT_BITS))
     cut = parents.withColumn("parts", recursive(F.col("parent"), *child))
-    children = explode_list(cut, ["doc_id", "parent_id"], "parts", "child", "child_no")
-    children = children.withColumn("child_id", _packed("parent_id", "child_no", CHILD_BITS))
-    return parents.select("parent_id", "doc_id", "parent_no", "parent"), children
+    children = explode_list(cut, ["doc_id", "parent_no"], "parts", "child", "child_no")
+    return parents.select("doc_id", "parent_no", "parent"), children
 
 
 FENCE = "```"

@@ -21,8 +21,8 @@ GRADED_ANSWER = ("struct<answer:string,confidence:string,sources_used:array<stri
 
 
 def assemble(ranked: DataFrame, line: Column, separator: str, name: str = "context") -> DataFrame:
-    """Render each ranked row with ``line`` and join the lines of a query in rank order."""
-    rows = F.array_sort(F.collect_list(F.struct("rank", line.alias("line"))))
+    """Render each ranked row with ``line`` (a null one is empty) and join the lines of a query in rank order."""
+    rows = F.array_sort(F.collect_list(F.struct("rank", F.coalesce(line, F.lit("")).alias("line"))))
     return ranked.groupBy("query_id").agg(
         F.array_join(F.transform(rows, lambda r: r["line"]), separator).alias(name),
         F.count(F.lit(1)).alias("n_chunks"))
@@ -33,21 +33,24 @@ def plain_line() -> Column:
 
 
 def source_line() -> Column:
-    return F.concat(F.lit("Source ("), F.coalesce("source", F.lit("unknown")), F.lit("): "), "text")
+    return F.concat(F.lit("Source ("), F.coalesce("source", F.lit("unknown")), F.lit("): "), F.coalesce("text", F.lit("")))
 
 
 def numbered_line() -> Column:
     return F.concat(F.lit("["), F.col("rank").cast("string"), F.lit("] Source "),
-                    F.coalesce("source", F.lit("unknown")), F.lit(":\n"), "text")
+                    F.coalesce("source", F.lit("unknown")), F.lit(":\n"), F.coalesce("text", F.lit("")))
 
 
 def bracket_line() -> Column:
-    return F.concat(F.lit("["), F.coalesce("source", F.lit("unknown")), F.lit("]: "), "text")
+    return F.concat(F.lit("["), F.coalesce("source", F.lit("unknown")), F.lit("]: "), F.coalesce("text", F.lit("")))
 
 
 def header_line() -> Column:
-    return F.concat(F.lit("[FILE: "), "file_name", F.lit(" | TYPE: "), "file_type",
-                    F.lit(" | LOCATION: "), "location", F.lit("]\n"), "text")
+    def known(name, default):
+        return F.coalesce(F.col(name), F.lit(default))
+
+    return F.concat(F.lit("[FILE: "), known("file_name", "unknown"), F.lit(" | TYPE: "), known("file_type", "unknown"),
+                    F.lit(" | LOCATION: "), known("location", "N/A"), F.lit("]\n"), known("text", ""))
 
 
 # Separators between rendered rows.

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions import vector as V
 from ..functions.embed import DIM, signature
-from ..plans.blockjoin import similar
+from ..plans.blockjoin import id_column, similar
 from ..plans.ranking import number_rows, with_rank
 from ..plans.sizing import broadcast_if_small, few_rows, materialise, rows_of, spread
-from .chunking import document_of, parent_child, parent_of
+from .chunking import parent_child
 
 
 def nearest(queries: DataFrame, corpus: DataFrame, k: int, **options) -> DataFrame:
@@ -89,7 +89,7 @@ def nearest_diverse(queries: DataFrame, corpus: DataFrame, k: int = 3, fetch_k:
                     **options) -> DataFrame:
     """Fetch ``fetch_k`` rows by similarity, keep ``k`` diverse ones."""
     found = similar(queries, corpus, fetch_k, id=id, vec=vec, **options)
-    vectors = [F.col(id).cast("bigint").alias("id"), F.col(vec).alias("embedding")]
+    vectors = [id_column(corpus, id).alias("id"), F.col(vec).alias("embedding")]
     return mmr(rows_of(found, corpus, vectors, few_rows(queries, fetch_k)), k, trade_off)
 
 
@@ -99,11 +99,9 @@ def multi_query(variants: DataFrame, corpus: DataFrame, k: int = 2, vec: str = "
 
     A row found by several rewrites keeps its best score and is returned once.
     """
-    # One bigint per rewrite: the query in the high part, the rewrite number in the low 20 bits.
-    keyed = variants.withColumn("_rewrite", F.shiftleft(F.col("query_id").cast("bigint"), 20)
-                                .bitwiseOR(F.col("variant_no").cast("bigint")))
+    keyed = variants.withColumn("_rewrite", F.struct("query_id", "variant_no"))
     found = similar(keyed, corpus, k, query_id="_rewrite", query_vec=vec, vec=vec, **options)
-    per_query = found.withColumn("query_id", F.shiftright("query_id", 20))
+    per_query = found.withColumn("query_id", F.col("query_id.query_id"))
     return per_query.groupBy("query_id", "id").agg(
         F.max("score").alias("score"), F.count(F.lit(1)).alias("n_variants"))
 
@@ -111,12 +109,12 @@ def multi_query(variants: DataFrame, corpus: DataFrame, k: int = 2, vec: str = "
 def parents_of(ranked_children: DataFrame) -> DataFrame:
     """Distinct parents of retrieved children, in best-child order.
 
-    A child id names its parent and a parent id its document, so no join is needed.
+    Child ids are structs ``(doc_id, parent_no, child_no)``, so no join is needed.
     """
-    owner = ranked_children.withColumn("parent_id", parent_of(F.col("id")))
-    hits = owner.groupBy("query_id", "parent_id").agg(
+    owner = ranked_children.select("query_id", "id.doc_id", "id.parent_no", "rank", "score")
+    hits = owner.groupBy("query_id", "doc_id", "parent_no").agg(
         F.min("rank").alias("best_child_rank"), F.max("score").alias("score"))
-    return with_rank(hits, ["query_id"], [F.asc("best_child_rank"), F.asc("parent_id")])
+    return with_rank(hits, ["query_id"], [F.asc("best_child_rank"), F.asc("doc_id"), F.asc("parent_no")])
 
 
 def parent_search(queries: DataFrame, docs: DataFrame, k: int = 4, *, id: str = "doc_id",
@@ -129,14 +127,14 @@ def parent_search(queries: DataFrame, docs: DataFrame, k: int = 4, *, id: str =
     corpus = spread(docs.select(id, text), id)
     _, children = parent_child(corpus, id, text, parent, child)
     found = similar(queries.select(F.col(query_id).alias("query_id"), signature(query, dim).alias("codes")),
-                    children.select("child_id", signature("child", dim).alias("codes")), k,
+                    children.select(F.struct("doc_id", "parent_no", "child_no").alias("child_id"), signature("child", dim).alias("codes")), k,
                     query_vec="codes", id="child_id", vec="codes", encoding="signature", dim=dim)
     placed = materialise(parents_of(found))
-    hit_docs = placed.select(document_of(F.col("parent_id")).alias(id)).distinct()
+    hit_docs = placed.select(F.col("doc_id").alias(id)).distinct()
     small = few_rows(queries, k)
     needed = docs.select(id, text).join(F.broadcast(hit_docs) if small else hit_docs, id, "left_semi")
     parents, _ = parent_child(needed, id, text, parent, child)
-    return (F.broadcast(placed) if small else placed).join(parents, "parent_id")
+    return (F.broadcast(placed) if small else placed).join(parents, ["doc_id", "parent_no"])
 
 
 def cell_count(corpus: DataFrame, most: int = 4096) -> int:
@@ -177,7 +175,7 @@ def nearest_approximate(queries: DataFrame, index: DataFrame, k: int, model, pro
         "cell int, centre array<double>")
     routed = similar(queries, centres, probes, query_id=query_id, query_vec=vec, id="cell",
                      vec="centre", metric="l2", small_corpus=True).select("query_id", F.col("id").cast("int").alias("cell"))
-    asked = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(vec).alias("embedding"))
+    asked = queries.select(id_column(queries, query_id).alias("query_id"), F.col(vec).alias("embedding"))
     probed = routed.join(asked, "query_id")
     cells = index.select("cell", F.col(id).alias("id"), F.col(vec).alias("embedding"))
     return similar(probed, cells, k, by=["cell"], exclude_self=exclude_self)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from ..plans.blockjoin import SCHEMA, TILE_CELLS, BestRows
+from ..plans.blockjoin import SCHEMA, TILE_CELLS, BestRows, Scoring
 from ..plans.ranking import explode_list, top_k
 from ..plans.sizing import fits_broadcast, materialise, spread
 
@@ -151,7 +151,7 @@ def _send_terms(weighted: DataFrame, index: DataFrame, k: int, avg_terms: float)
                 low, high = np.searchsorted(owner, [at, at + step])
                 best.add(tile(codes[low:high], owner[low:high] - at, n_terms[at:at + step]),
                          ids[at:at + step])
-        yield best.rows(query_ids)
+        yield best.rows(Scoring(k=k), query_ids)
 
     found = index.select(F.col("id").cast("bigint").alias("id"), "terms").mapInArrow(task, SCHEMA)
     return found.drop("rank")

@@ -30,9 +30,9 @@ def preflight(requests: DataFrame, budget: int, text: str = "text") -> DataFrame
 
 
 def usage_columns(response: str = "response") -> list[Column]:
-    """Token counts and model of a stored response; absent keys count zero."""
+    """Token counts and model of a stored response; absent and malformed counts are zero."""
     def number(path):
-        return F.coalesce(F.get_json_object(response, path).cast("bigint"), F.lit(0).cast("bigint"))
+        return F.coalesce(F.get_json_object(response, path).try_cast("decimal(38,6)").try_cast("bigint"), F.lit(0).cast("bigint"))
 
     return [number("$.token_usage.prompt_tokens").alias("prompt_tokens"),
             number("$.token_usage.completion_tokens").alias("completion_tokens"),
@@ -54,6 +54,16 @@ def price_table(spark) -> DataFrame:
     return spark.createDataFrame(PRICES, "tier string, price_model string, input_price double, output_price double")
 
 
+def _is_hit() -> Column:
+    """An empty cached answer is a miss."""
+    return F.coalesce(F.col("cached_response") != "", F.lit(False))
+
+
+def answered_misses(requests: DataFrame) -> DataFrame:
+    """Requests that cost money: a cache hit calls no model, a failed call is not billed."""
+    return requests.where(~_is_hit() & F.col("failure").isNull())
+
+
 def cost_by_tier(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """Cost per tier. Tokens are summed as integers first, so money does not depend on row order."""
     sums = usage.groupBy("tier").agg(
@@ -76,8 +86,7 @@ def route(decision) -> Column:
 
 def cache_and_route_counts(requests: DataFrame) -> DataFrame:
     """Hits and misses, and tiers of the misses. An empty cached answer is a miss."""
-    hit = F.coalesce(F.col("cached_response") != "", F.lit(False))
-    return requests.withColumn("_hit", hit).agg(
+    return requests.withColumn("_hit", _is_hit()).agg(
         F.count_if(F.col("_hit")).alias("cache_hits"),
         F.count_if(~F.col("_hit")).alias("cache_misses"),
         F.count_if(~F.col("_hit") & (F.col("tier") == "simple")).alias("routed_simple"),

@@ -6,7 +6,6 @@ Only the approximate index has no SQL; its recall is measured against the exact
 from __future__ import annotations
 
 from .functions.embed import DIM
-from .functions.text import ENTITIES
 from .queries import BUDGET, CACHE_THRESHOLD, COMPRESS_THRESHOLD, FILTER_LABEL
 
 ORACLE: dict[str, str] = {}
@@ -323,7 +322,7 @@ parents AS (SELECT (id * 1048576 + chunk_no)::BIGINT AS id, id AS doc_id, chunk_
 {_recursive('ch', 'parents', 150, 15)},
 children AS (SELECT p.doc_id, p.id AS parent_id, c.chunk_no AS child_no, c.chunk AS child, p.id * 1024 + c.chunk_no AS child_id
              FROM ch c JOIN parents p ON p.id = c.id)"""
-ORACLE["parent_child_chunks"] = f"WITH RECURSIVE {_FAMILY} SELECT doc_id, parent_id, child_no, child, child_id FROM children"
+ORACLE["parent_child_chunks"] = f"WITH RECURSIVE {_FAMILY} SELECT doc_id, (parent_id % 1048576)::INT AS parent_no, child_no, child FROM children"
 ORACLE["parent_retrieve"] = f"""
 WITH RECURSIVE {_FAMILY},
 {_sparse('cq', '(SELECT item_id AS query_id, text AS txt FROM benchmark)', 'query_id')},
@@ -331,7 +330,7 @@ WITH RECURSIVE {_FAMILY},
 cs AS (SELECT query_id, id, round(sum(q.w * d.w), 6) AS score FROM cq q JOIN cd d USING (b) GROUP BY query_id, id),
 {_top('best', 'cs', 4)},
 hit AS (SELECT query_id, id // 1024 AS parent_id, min(rank) AS best_child_rank, max(score) AS score FROM best GROUP BY ALL)
-SELECT query_id, parent_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY best_child_rank, parent_id)::INT AS rank,
+SELECT query_id, doc_id, (parent_id % 1048576)::INT AS parent_no, row_number() OVER (PARTITION BY query_id ORDER BY best_child_rank, parent_id)::INT AS rank,
        best_child_rank, score, txt AS parent
 FROM hit JOIN parents p ON p.id = parent_id"""
 
@@ -370,6 +369,11 @@ SELECT strategy, lang, count(*) AS n_chunks, round(avg(length(chunk)), 6) AS avg
 FROM rows_ JOIN documents USING (doc_id) GROUP BY strategy, lang"""
 
 
+# The character references that the pages hold; ``&amp;`` is last, so nothing is decoded twice.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&copy;": "©",
+            "&middot;": "·", "&amp;": "&"}
+
+
 def _unescape(expr: str) -> str:
     for name, char in ENTITIES.items():
         char = char.replace("'", "''")
@@ -475,7 +479,8 @@ SELECT sum(p)::BIGINT AS total_input_tokens, sum(c)::BIGINT AS total_output_toke
        sum(p + c)::BIGINT AS cumulative_tokens_used, round(sum(p + c)::DOUBLE / greatest(count(*), 1), 2) AS avg_tokens_per_call
 FROM req WHERE event_type <> 'error'"""
 ORACLE["cost_by_tier"] = f"""WITH {_REQ},
-s AS (SELECT tier, count(*) AS requests, sum(p)::BIGINT AS prompt_tokens, sum(c)::BIGINT AS completion_tokens FROM req GROUP BY tier),
+s AS (SELECT tier, count(*) AS requests, sum(p)::BIGINT AS prompt_tokens, sum(c)::BIGINT AS completion_tokens
+      FROM req WHERE event_type <> 'error' AND NOT coalesce(k < 30, false) GROUP BY tier),
 pr AS (SELECT * FROM (VALUES ('simple', 'llama-3.1-8b', 0.05::DOUBLE, 0.08::DOUBLE),
                              ('complex', 'llama-3.3-70b', 0.59::DOUBLE, 0.79::DOUBLE)) t(tier, price_model, i, o))
 SELECT tier, price_model, requests, prompt_tokens, completion_tokens, round(prompt_tokens / 1e6 * i, 6) AS input_cost,

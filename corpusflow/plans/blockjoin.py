@@ -15,12 +15,14 @@ Inside a task the scores of a block are one matrix product.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.embed import DIM, expand, list_parts
 from .ranking import top_k
@@ -45,6 +47,8 @@ class Scoring:
     min_score: float | None = None
     exclude_self: bool = False
     earlier_only: bool = False
+    query_type: pa.DataType = pa.int64()
+    id_type: pa.DataType = pa.int64()
 
     def matrix(self, column) -> np.ndarray:
         values, starts = list_parts(column)
@@ -67,13 +71,23 @@ class Scoring:
         return np.round(out, 6) + 0.0
 
 
+def _sortable(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Numbers in the order of the ids; places without a row hold no id yet."""
+    if ids.dtype != object:
+        return ids
+    out = np.zeros(len(ids), np.int64)
+    real = scores > NONE
+    out[real] = np.unique(ids[real], return_inverse=True)[1]
+    return out
+
+
 class BestRows:
     """Best ``k`` (score desc, id asc) per query over all tiles seen so far."""
 
-    def __init__(self, rows: int, k: int):
+    def __init__(self, rows: int, k: int, integers: bool = True):
         self.k = k
         self.scores = np.full((rows, k), NONE)
-        self.ids = np.full((rows, k), np.iinfo(np.int64).max)
+        self.ids = np.full((rows, k), np.iinfo(np.int64).max if integers else None)
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
         rows, width = scores.shape
@@ -86,22 +100,22 @@ class BestRows:
         owner = np.concatenate([np.repeat(np.arange(rows), self.k), r])
         value = np.concatenate([self.scores.ravel(), scores[r, c]])
         ident = np.concatenate([self.ids.ravel(), ids[c]])
-        order = np.lexsort((ident, -value, owner))
+        order = np.lexsort((_sortable(ident, value), -value, owner))
         owner = owner[order]
         place = np.arange(len(owner)) - np.searchsorted(owner, np.arange(rows))[owner]
         kept = order[place < self.k]
         self.scores = value[kept].reshape(rows, self.k)
         self.ids = ident[kept].reshape(rows, self.k)
 
-    def rows(self, query_ids: np.ndarray):
+    def rows(self, how: Scoring, query_ids: np.ndarray):
         r, c = np.nonzero(self.scores > NONE)
-        return _rows(query_ids[r], self.ids[r, c], self.scores[r, c], c + 1)
+        return _rows(how, query_ids[r], self.ids[r, c], self.scores[r, c], c + 1)
 
 
-def _rows(query_ids, ids, scores, ranks=None) -> pa.RecordBatch:
+def _rows(how: Scoring, query_ids, ids, scores, ranks=None) -> pa.RecordBatch:
     ranks = np.zeros(len(ids)) if ranks is None else ranks
     return pa.RecordBatch.from_arrays(
-        [pa.array(query_ids, pa.int64()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64()),
+        [pa.array(query_ids, how.query_type), pa.array(ids, how.id_type), pa.array(scores, pa.float64()),
          pa.array(np.asarray(ranks).astype(np.int32))],
         names=["query_id", "id", "score", "rank"])
 
@@ -127,7 +141,7 @@ def _compare(how: Scoring, query_ids: np.ndarray, queries: np.ndarray, blocks):
     step_q = min(len(query_ids), QUERY_ROWS) or 1
     step_c = max(TILE_CELLS // step_q, 1)
     spans = [slice(a, a + step_q) for a in range(0, len(query_ids), step_q)]
-    best = [BestRows(len(query_ids[s]), how.k) for s in spans] if how.k else None
+    best = [BestRows(len(query_ids[s]), how.k, how.id_type == pa.int64()) for s in spans] if how.k else None
     for ids, corpus in blocks:
         for at in range(0, len(ids), step_c):
             part_ids, part = ids[at:at + step_c], corpus[at:at + step_c]
@@ -137,10 +151,10 @@ def _compare(how: Scoring, query_ids: np.ndarray, queries: np.ndarray, blocks):
                     best[n].add(scores, part_ids)
                 else:
                     r, c = np.nonzero(scores > NONE)
-                    yield _rows(query_ids[span][r], part_ids[c], scores[r, c])
+                    yield _rows(how, query_ids[span][r], part_ids[c], scores[r, c])
     if best:
         for n, span in enumerate(spans):
-            yield best[n].rows(query_ids[span])
+            yield best[n].rows(how, query_ids[span])
 
 
 def _read(how: Scoring, table, ident: str):
@@ -148,11 +162,31 @@ def _read(how: Scoring, table, ident: str):
     vec = table.column("vec")
     if vec.null_count:
         table = table.filter(vec.is_valid())
-    return table.column(ident).to_numpy(**_copy(table)), how.matrix(table.column("vec"))
+    return _ids(table.column(ident)), how.matrix(table.column("vec"))
+
+
+def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Integers as such; strings, and structs as tuples, as objects that sort like the column."""
+    parts = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    if pa.types.is_integer(column.type):
+        return np.concatenate([np.zeros(0, np.int64), *[p.to_numpy(zero_copy_only=False) for p in parts]])
+    out, at = np.empty(len(column), object), 0
+    for part in parts:
+        values = zip(*[f.to_pylist() for f in part.flatten()]) if pa.types.is_struct(part.type) else part.to_pylist()
+        for value in values:
+            out[at], at = value, at + 1
+    return out
+
+
+def id_column(df: DataFrame, name: str):
+    """Ids are strings, structs or integers; integers of any width are compared as bigint."""
+    own = isinstance(df.select(name).schema[0].dataType, (T.StringType, T.StructType))
+    return F.col(name) if own else F.col(name).cast("bigint")
 
 
-def _copy(table) -> dict:
-    return {"zero_copy_only": False} if isinstance(table, pa.RecordBatch) else {}
+def _schema(queries: DataFrame, corpus: DataFrame) -> str:
+    query, ident = (df.schema[c].dataType.simpleString() for df, c in ((queries, "query_id"), (corpus, "id")))
+    return f"query_id {query}, id {ident}, score double, rank int"
 
 
 def _send_queries(queries: DataFrame, corpus: DataFrame, how: Scoring) -> DataFrame:
@@ -164,7 +198,7 @@ def _send_queries(queries: DataFrame, corpus: DataFrame, how: Scoring) -> DataFr
         blocks = (_read(how, b, "id") for b in batches if b.num_rows)
         yield from _compare(how, query_ids, matrix, blocks)
 
-    return corpus.mapInArrow(task, SCHEMA)
+    return corpus.mapInArrow(task, _schema(queries, corpus))
 
 
 def _send_corpus(queries: DataFrame, corpus: DataFrame, how: Scoring) -> DataFrame:
@@ -175,7 +209,7 @@ def _send_corpus(queries: DataFrame, corpus: DataFrame, how: Scoring) -> DataFra
             if batch.num_rows:
                 yield from _compare(how, *_read(how, batch, "query_id"), [sent.value])
 
-    return queries.mapInArrow(task, SCHEMA)
+    return queries.mapInArrow(task, _schema(queries, corpus))
 
 
 def _grid(queries: DataFrame, corpus: DataFrame, by: list[str], how: Scoring) -> DataFrame:
@@ -205,11 +239,11 @@ def _grid(queries: DataFrame, corpus: DataFrame, by: list[str], how: Scoring) ->
         found = []
         if left.num_rows and right.num_rows:
             found = list(_compare(how, *_read(how, left, "query_id"), [_read(how, right, "id")]))
-        return pa.Table.from_batches(found or [_rows([], [], [])])
+        return pa.Table.from_batches(found or [_rows(how, [], [], [])])
 
     return (cells(queries, "query_id", "_q", "_c").groupBy(*keys)
             .cogroup(cells(corpus, "id", "_c", "_q").groupBy(*keys))
-            .applyInArrow(task, SCHEMA))
+            .applyInArrow(task, _schema(queries, corpus)))
 
 
 def similar(queries: DataFrame, corpus: DataFrame, k: int | None = None, *,
@@ -222,15 +256,18 @@ def similar(queries: DataFrame, corpus: DataFrame, k: int | None = None, *,
 
     ``k=None`` returns every score, for matrices and full rankings. ``by`` restricts matches to
     equal values of the named columns. ``earlier_only`` keeps corpus ids below the query id.
-    ``small_corpus`` asks to send the corpus, which is done when its size check holds.
+    ``small_corpus`` asks to send the corpus, which is done when its size check holds. Ids are
+    integers, strings or structs of them (a chunk's document and number); ties go by their order.
     """
     by = list(by or [])
     how = Scoring(metric, encoding, dim, k, min_score, exclude_self, earlier_only)
     # Rows without a vector are dropped inside the tasks: a filter here would be pushed down and
     # compute a derived vector twice.
     left = queries.select(
-        F.col(query_id).cast("bigint").alias("query_id"), F.col(query_vec).alias("vec"), *by)
-    right = corpus.select(F.col(id).cast("bigint").alias("id"), F.col(vec).alias("vec"), *by)
+        id_column(queries, query_id).alias("query_id"), F.col(query_vec).alias("vec"), *by)
+    right = corpus.select(id_column(corpus, id).alias("id"), F.col(vec).alias("vec"), *by)
+    how = replace(how, query_type=to_arrow_type(left.schema["query_id"].dataType),
+                  id_type=to_arrow_type(right.schema["id"].dataType))
     width = "8 * size(vec) + 64"
     if not by and small_corpus and fits_broadcast(right, width, MAX_QUERIES_SENT):
         scored = _send_corpus(left, right, how)

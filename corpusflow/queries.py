@@ -201,7 +201,7 @@ def ensemble_search(spark, sf):
 @query
 def parent_retrieve(spark, sf):
     return R.parent_search(text_queries(spark, sf), documents(spark, sf), 4).select(
-        "query_id", "parent_id", "doc_id", "rank", "best_child_rank", "score", "parent")
+        "query_id", "doc_id", "parent_no", "rank", "best_child_rank", "score", "parent")
 
 
 def _ranked_texts(spark, sf, k, ranked=None):
@@ -534,7 +534,7 @@ def usage_summary(spark, sf):
 
 @query
 def cost_by_tier(spark, sf):
-    return G.cost_by_tier(_usage(spark, sf), G.price_table(spark))
+    return G.cost_by_tier(G.answered_misses(_usage(spark, sf)), G.price_table(spark))
 
 
 @query

@@ -7,6 +7,7 @@ to ``quarantined_csv`` / ``quarantined_json``, and unknown extensions are ignore
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +29,12 @@ WHOLE = "Full Document"
 
 
 def _place() -> list[Column]:
-    return [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_path").alias("_path")]
+    return [_plain("_metadata.file_name").alias("_file"), _plain("_metadata.file_path").alias("_path")]
+
+
+def _plain(encoded: str) -> Column:
+    """Scans name their files with URI escapes; a plus sign is none."""
+    return F.url_decode(F.replace(F.col(encoded), F.lit("+"), F.lit("%2B")))
 
 
 def empty(spark: SparkSession) -> DataFrame:
@@ -81,34 +87,43 @@ def row_text(columns: list[str]) -> Column:
     return F.array_join(F.array(*lines), "\n")
 
 
-def _csv_files(spark: SparkSession, path: str, multi_line: bool) -> dict[tuple, list[str]]:
+def _csv_files(spark: SparkSession, path: str) -> dict[tuple, list[str]]:
     """Files by header, as files of one folder may differ in their columns.
 
     The first line of each file is found in one distributed pass. The driver gets file names,
-    which it holds for every scan anyway, and parses one file per distinct header.
+    which it holds for every scan anyway, and one line per distinct header.
     """
     lines = (_reader(spark, _any_case(".csv")).text(path)
-             .select("value", F.col("_metadata.file_path").alias("file"),
+             .select("value", F.regexp_replace(_plain("_metadata.file_path"), r"([\[\]{}*?\\])", r"\\$1").alias("file"),
                      F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("at")).where(F.col("block") == 0))
     heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
     by_head = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files"))
     out = {}
     for row in by_head.orderBy("head").toLocalIterator():
-        columns = spark.read.csv(row.files[0], header=True, multiLine=multi_line).columns
-        out[tuple(columns)] = row.files
+        out.setdefault(_header(row.head), []).extend(row.files)
     return out
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False,
+def _header(line: str) -> tuple[str, ...]:
+    """Column names of a header line; nameless columns and repeated names get their place."""
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader([line.lstrip("\ufeff")]), [])):
+        taken = {n.lower() for n in names}
+        names.append(f"{name}{i}" if name.lower() in taken else name or f"_c{i}")
+    return tuple(names)
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True,
              columns: list[str] | None = None) -> DataFrame:
     """One document per record, located by its 0-based row in the file.
 
-    Files stay splittable: records are counted per file block, and the counts of the earlier
-    blocks give each block its first row number. ``columns`` skips header discovery when all
-    files share one header; ``multi_line`` is for quoted line breaks.
+    Quoted line breaks are part of a field; a file is then read by one task. Where no field
+    holds a line break, ``multi_line=False`` keeps files splittable: records are counted per file
+    block, and the counts of the earlier blocks give each block its first row number.
+    ``columns`` skips header discovery when all files share one header.
     """
-    groups = {tuple(columns): [path]} if columns else _csv_files(spark, path, multi_line)
+    groups = {tuple(columns): [path]} if columns else _csv_files(spark, path)
     out = empty(spark)
     for head, files in groups.items():
         out = out.unionByName(_csv_rows(spark, list(head), files, multi_line))
@@ -141,11 +156,11 @@ def _csv_rows(spark, head, files, multi_line) -> DataFrame:
     return _document(placed, row_text(head), F.lit("CSV"), where)
 
 
-def quarantined_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool = False) -> DataFrame:
+def quarantined_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
     """Records that do not fit the header, with their file."""
     rows = _csv_scan(spark, columns, [path], multi_line).where(F.col(CORRUPT).isNotNull())
     # The parsed fields stay in the output, as the scan needs all of them to judge a record.
-    return rows.select(F.col("_metadata.file_name").alias("file_name"), F.col(CORRUPT).alias("record"),
+    return rows.select(_plain("_metadata.file_name").alias("file_name"), F.col(CORRUPT).alias("record"),
                        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("parsed"))
 
 
@@ -220,7 +235,7 @@ def normalise(rows: DataFrame, path: str = "path", ordinal: str = "ordinal", tex
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Stop a job that would run on an empty corpus."""
     if df.isEmpty():
-        raise ValueError(f"No valid documents found in {what}")
+        raise ValueError(f"{what} holds no readable document")
     return df
 
 

@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from corpusflow.operators import retrieval as R
 from corpusflow.plans import blockjoin
 from corpusflow.plans.blockjoin import similar
@@ -110,3 +112,17 @@ def test_approximate_search_with_all_cells_is_exact_and_recall_holds(spark, data
     assert got(every) == got(exact)
     some = R.recall(R.nearest_approximate(asked, index, 4, model, probes=3), exact).collect()
     assert sum(r.n_found for r in some) >= 0.6 * sum(r.n_exact for r in some)
+
+
+def test_struct_and_string_ids_in_the_grid(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"d{i % 7}", i, rng.normal(size=4).round(1).tolist()) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc string, n int, embedding array<double>").withColumn("id", F.struct("doc", "n"))
+    asked = df.withColumn("query_id", F.concat("doc", F.lit("-"), "n"))
+    for limit in (100, 0):
+        found = {}
+        for r in similar(asked, df, 3, send_limit=limit).collect():
+            found.setdefault(r.query_id, []).append((r["rank"], tuple(r.id)))
+        for doc, n, v in rows:
+            best = sorted(rows, key=lambda o: (-round(float(np.dot(v, o[2])), 6), o[0], o[1]))[:3]
+            assert [x for _, x in sorted(found[f"{doc}-{n}"])] == [(d, m) for d, m, _ in best]

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -139,13 +140,29 @@ def test_smart_chunk_query_keeps_every_document(spark):
 def test_children_lie_in_their_parents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     parents, children = K.parent_child(docs)
-    held = {r.parent_id: r for r in parents.collect()}
+    held = {(r.doc_id, r.parent_no): r for r in parents.collect()}
     rows = children.collect()
-    assert len({r.child_id for r in rows}) == len(rows)
+    assert len({(r.doc_id, r.parent_no, r.child_no) for r in rows}) == len(rows)
     for r in rows:
-        assert r.child in held[r.parent_id].parent and len(r.child) <= 150
-        assert r.child_id >> K.CHILD_BITS == r.parent_id
-    assert {r.parent_id for r in rows} == set(held)
+        assert r.child in held[r.doc_id, r.parent_no].parent and len(r.child) <= 150
+    assert {(r.doc_id, r.parent_no) for r in rows} == set(held)
+
+
+def test_parent_with_more_than_1024_children(spark):
+    docs = spark.createDataFrame([(1, "word " * 4000)], "doc_id bigint, text string")
+    _, children = K.parent_child(docs, parent=(9000, 0), child=(6, 0))
+    rows = children.select("doc_id", "parent_no", "child_no").collect()
+    assert len(set(rows)) == len(rows) == 4000
+
+
+@pytest.mark.parametrize("ids", [[2**33, 2**62, -5], ["b", "a", "é"]])
+def test_parents_of_any_document_id(spark, ids):
+    texts = ["green apples grow", "blue whales swim", "red cars drive"]
+    kind = "string" if isinstance(ids[0], str) else "bigint"
+    docs = spark.createDataFrame(list(zip(ids, texts)), f"doc_id {kind}, text string")
+    queries = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "query_id bigint, query string")
+    found = R.parent_search(queries, docs, 1).collect()
+    assert {r.query_id: (r.doc_id, r.parent) for r in found} == {n: (i, t) for n, (i, t) in enumerate(zip(ids, texts))}
 
 
 def test_parents_come_in_best_child_order(spark):
@@ -153,7 +170,7 @@ def test_parents_come_in_best_child_order(spark):
     by_query = {}
     for r in rows:
         by_query.setdefault(r.query_id, []).append(r)
-        assert r.parent_id >> K.PARENT_BITS == r.doc_id and r.parent
+        assert r.parent_no >= 0 and r.parent
     for found in by_query.values():
         found.sort(key=lambda r: r["rank"])
         assert [r["rank"] for r in found] == list(range(1, len(found) + 1))

@@ -98,3 +98,18 @@ def test_text_helpers(spark):
                     T.preview("t", 5).alias("d"), F.length("t").alias("e")).first()
     assert row.a == ["ab", "cd", "éf", "12", "next", "last"] and row.b == 6
     assert row.c == ["  Ab\ncd, éF 12!", "Next?", "Last"] and row.d == "Ab cd"
+
+
+def test_csv_with_line_breaks_and_names_that_need_escapes(spark, tmp_path):
+    (tmp_path / "a b+c%[1].csv").write_text('x,y\n"a\nb",4\nplain,5\n')
+    rows = files.read_directory(spark, str(tmp_path)).collect()
+    assert {(r.text, r.location) for r in rows} == {("x: a\nb\ny: 4", "Row 0"), ("x: plain\ny: 5", "Row 1")}
+    assert {r.file_name for r in rows} == {"a b+c%[1].csv"}
+    assert all(r.metadata["path"].endswith("/a b+c%[1].csv") for r in rows)
+
+
+def test_character_references_of_the_standard(spark):
+    page = "<p>It&#8217;s caf&eacute; &mdash; 5&#x20AC; &amp;lt; a&nbsp;b</p>"
+    df = spark.createDataFrame([(page,), (None,), ("",)], "html string")
+    assert [r.t for r in df.select(T.html_text("html").alias("t")).collect()] == [
+        "It\u2019s caf\u00e9 \u2014 5\u20ac &lt; a b", None, ""]

@@ -121,3 +121,21 @@ def test_compression_keeps_close_sentences_in_order(spark):
     rows = X.compress(docs, queries, 0.3).collect()
     assert [(r.id, r.compressed) for r in rows] == [(5, "Backups run nightly. Nightly backups are kept.")]
     assert rows[0].chars_before == 58 and rows[0].chars_after == len(rows[0].compressed)
+
+
+def test_malformed_counts_are_zero(spark):
+    df = spark.createDataFrame([('{"token_usage":{"prompt_tokens":"n/a","completion_tokens":12.0}}',)], "response string")
+    assert tuple(df.select(*G.usage_columns()).first()) == (0, 12, "unknown-model")
+
+
+def test_only_answered_misses_are_billed(spark):
+    df = spark.createDataFrame([(1, None, None), (2, "", None), (3, "stored", None), (4, None, "TimeoutError")],
+                               "request_id bigint, cached_response string, failure string")
+    assert sorted(r.request_id for r in G.answered_misses(df).collect()) == [1, 2]
+
+
+def test_missing_provenance_and_text_keep_the_chunk(spark):
+    df = spark.createDataFrame([(1, 1, "one", None, "Text", "p. 1"), (1, 2, None, "f", None, None)],
+                               "query_id bigint, rank int, text string, file_name string, file_type string, location string")
+    row = X.assemble(df, X.header_line(), "|").first()
+    assert row.context == "[FILE: unknown | TYPE: Text | LOCATION: p. 1]\none|[FILE: f | TYPE: unknown | LOCATION: N/A]\n"
