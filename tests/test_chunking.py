@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF
+from tables import SF
 from corpusflow.operators import chunking as K
 from corpusflow.operators import retrieval as R
 from corpusflow.queries import QUERIES

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF
+from tables import SF
 from corpusflow.functions import embed as E
 from corpusflow.functions import vector as V
 from corpusflow.operators import sparse as S

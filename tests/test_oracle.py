@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, connect
-from conftest import SF
+from tables import SF
 from corpusflow.queries import QUERIES
 
 SQL = entry.oracle_sql()
