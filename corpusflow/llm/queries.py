@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, language_id, licenses, mixing, quality, sharding, simhash, token_counts, toxicity
+from . import chat, decontaminate, filter_audit, language_id, licenses, mixing, quality, sharding, simhash, token_counts, toxicity
 from .common import table
 
 
@@ -48,7 +48,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_sharding, op3_decontamination, op4_license_scan, op5_token_counts,
-                                   op6_simhash_dedup, op7_mixing, op8_toxicity, op9_chat_formatting, op10_quality_rules)}
+                                   op6_simhash_dedup, op7_mixing, op8_toxicity, op9_chat_formatting, op10_quality_rules, op11_filter_audit)}
 # Learned models, hashes and draws of the other operators cannot be stated in SQL.
-ORACLE = {"op9_chat_formatting": chat.SQL}
+ORACLE = {"op9_chat_formatting": chat.SQL, "op11_filter_audit": filter_audit.SQL}
