@@ -22,6 +22,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+MARK = "_COMMITTED"
+
+
+def set_mark(spark: SparkSession, folder: str) -> None:
+    """Say that all files of a batch folder stand; written last, so a folder without it does not count."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{MARK}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
+
+
+def marked(spark: SparkSession, folder: str) -> list[str]:
+    """Batch folders of a store whose mark stands, by name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/batch=*/{MARK}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f"{folder}/{x.getPath().getParent().getName()}" for x in found or [])
+
+
+def table_in(spark: SparkSession, folders: list[str], name: str, schema: str) -> DataFrame:
+    """The table ``name`` of all given batch folders; empty without any."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{f}/{name}" for f in folders])
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """Bind an expression once, so that Catalyst cannot repeat it wherever ``use`` names it."""
     return F.transform(F.array(value), use)[0]
