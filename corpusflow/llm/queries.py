@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, filter_audit, language_id, licenses, mixing, quality, secret_scan, sharding, simhash, token_counts, toxicity
+from . import (
+    chat,
+    decontaminate,
+    filter_audit,
+    language_id,
+    licenses,
+    mixing,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    spelling,
+    token_counts,
+    toxicity,
+)
 from .common import table
 
 
@@ -56,8 +70,12 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_sharding, op3_decontamination, op4_license_scan, op5_token_counts,
                                    op6_simhash_dedup, op7_mixing, op8_toxicity, op9_chat_formatting, op10_quality_rules, op11_filter_audit,
-                                   op12_secret_scan)}
+                                   op12_secret_scan, op13_spelling_variants)}
 # Learned models, hashes and draws of the other operators cannot be stated in SQL.
 ORACLE = {"op9_chat_formatting": chat.SQL, "op11_filter_audit": filter_audit.SQL, "op12_secret_scan": secret_scan.SQL}
