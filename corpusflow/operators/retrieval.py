@@ -1,12 +1,10 @@
-"""Dense retrieval: exact and approximate top-k, full rankings, diversity, derived lists.
+"""Dense retrieval: exact top-k, full rankings, diversity, derived lists.
 
 Every retriever returns ``(query_id, id, rank, score)``: best first, 1-based rank, ties by id.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,58 +135,6 @@ def parent_search(queries: DataFrame, docs: DataFrame, k: int = 4, *, id: str =
     return (F.broadcast(placed) if small else placed).join(parents, ["doc_id", "parent_no"])
 
 
-def cell_count(corpus: DataFrame, most: int = 4096) -> int:
-    """About the square root of the corpus size, so cells and rows per cell grow alike."""
-    return max(1, min(most, round(corpus.count() ** 0.5)))
-
-
-def train_cells(corpus: DataFrame, cells: int, vec: str = "embedding", seed: int = 7,
-                iterations: int = 8, training_rows: int = 1_000_000):
-    """K-means centres that cut the vector space into cells.
-
-    The centres of a very large corpus are fitted on a random part of it; every row is then
-    assigned to a cell, so only the place of the borders depends on the part.
-    """
-    n = corpus.count()
-    part = corpus.sample(training_rows / n, seed) if n > training_rows else corpus
-    points = part.select(array_to_vector(V.as_double(vec)).alias("features"))
-    return KMeans(k=cells, seed=seed, maxIter=iterations).fit(points)
-
-
-def with_cell(model, df: DataFrame, vec: str = "embedding") -> DataFrame:
-    """Home cell of each row."""
-    points = df.withColumn("features", array_to_vector(V.as_double(vec)))
-    return model.transform(points).withColumnRenamed("prediction", "cell").drop("features")
-
-
-def nearest_approximate(queries: DataFrame, index: DataFrame, k: int, model, probes: int = 4,
-                        query_id: str = "query_id", id: str = "id", vec: str = "embedding",
-                        exclude_self: bool = False) -> DataFrame:
-    """Search only the ``probes`` cells nearest to each query.
-
-    ``index`` is the output of ``with_cell``, best as a table written with
-    ``partition_by=["cell"]``: then no cell is computed again and unprobed cells are not read.
-    A hot cell is cut into blocks like any other group of the block join.
-    """
-    centres = queries.sparkSession.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())],
-        "cell int, centre array<double>")
-    routed = similar(queries, centres, probes, query_id=query_id, query_vec=vec, id="cell",
-                     vec="centre", metric="l2", small_corpus=True).select("query_id", F.col("id").cast("int").alias("cell"))
-    asked = queries.select(id_column(queries, query_id).alias("query_id"), F.col(vec).alias("embedding"))
-    probed = routed.join(asked, "query_id")
-    cells = index.select("cell", F.col(id).alias("id"), F.col(vec).alias("embedding"))
-    return similar(probed, cells, k, by=["cell"], exclude_self=exclude_self)
-
-
-def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
-    """Share of exact results that the approximate list also holds, per query."""
-    hit = approximate.select("query_id", "id", F.lit(1).alias("hit"))
-    return exact.join(hit, ["query_id", "id"], "left").groupBy("query_id").agg(
-        F.count(F.lit(1)).alias("n_exact"), F.count("hit").alias("n_found"),
-        F.round(F.count("hit") / F.count(F.lit(1)), 6).alias("recall"))
-
-
 def distinct_sources(ranked: DataFrame, keys: list[str]) -> DataFrame:
     """First-seen order of distinct keys within each query's ranked rows."""
     first = ranked.groupBy("query_id", *keys).agg(F.min("rank").alias("first_rank"))

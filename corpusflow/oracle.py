@@ -1,6 +1,4 @@
 """SQL that states what each registered query must return, for DuckDB on the same tables.
-
-Only the approximate index has no SQL; its recall is measured against the exact search.
 """
 
 from __future__ import annotations
@@ -101,6 +99,28 @@ WITH d AS (
 SELECT query_id, id, rank, abs(score) AS distance, round(1.0::DOUBLE / (1.0::DOUBLE + abs(score)), 6) AS similarity
 FROM top"""
 
+# Signed random projections: 6 tables of 8 planes, 32 codes of each looked into.
+_ANN = f"""planes AS (
+  SELECT p, (p - 1) // 8 AS t, (p - 1) % 8 AS bit,
+         [(1 - 2 * (bit_count(p & d) & 1)) * (1 - 2 * ((((d + 1) * 40503) >> 7) & 1)) FOR d IN range(0, 64)]::DOUBLE[] AS signs
+  FROM range(1, 49) r(p)),
+sides AS (
+  SELECT vec_id, t, bit, round(list_dot_product(embedding::DOUBLE[], signs), 6) AS z FROM embeddings, planes),
+codes AS (SELECT vec_id, t, sum(CASE WHEN z >= 0 THEN 1 << bit ELSE 0 END)::INT AS code FROM sides GROUP BY ALL),
+costs AS (
+  SELECT vec_id, t, flips, round(coalesce(sum(z * z) FILTER (WHERE (flips >> bit) & 1 = 1), 0), 6) AS cost
+  FROM sides, range(0, 256) f(flips) GROUP BY ALL),
+looks AS (
+  SELECT vec_id, t, xor(code, flips::INT) AS code FROM codes JOIN (
+    SELECT *, row_number() OVER (PARTITION BY vec_id, t ORDER BY cost, flips) AS place FROM costs) USING (vec_id, t)
+  WHERE place <= 32),
+met AS (SELECT DISTINCT a.vec_id AS query_id, b.vec_id AS id FROM looks a JOIN codes b USING (t, code) WHERE a.vec_id <> b.vec_id),
+{_PAIRS}, {_top('exact', 'pairs', 5)}, {_top('found', '(SELECT pairs.* FROM pairs JOIN met USING (query_id, id))', 5)}"""
+ORACLE["ann_topk"] = f"WITH {_ANN} SELECT query_id, id, rank, score FROM found"
+ORACLE["ann_recall"] = f"""WITH {_ANN}
+SELECT query_id, count(*) AS n_exact, count(f.id) AS n_found, round(count(f.id) / count(*), 6) AS recall
+FROM exact e LEFT JOIN found f USING (query_id, id) GROUP BY query_id"""
+
 _MEANS = """comp AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
 means AS (SELECT label::BIGINT AS query_id, list(m ORDER BY i) AS mean
           FROM (SELECT label, i, avg(x) AS m FROM comp GROUP BY label, i) GROUP BY label),

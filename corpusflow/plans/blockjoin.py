@@ -251,13 +251,15 @@ def similar(queries: DataFrame, corpus: DataFrame, k: int | None = None, *,
             vec: str = "embedding", by: list[str] | None = None, metric: str = "dot",
             encoding: str = "dense", dim: int = DIM, min_score: float | None = None,
             exclude_self: bool = False, earlier_only: bool = False,
-            send_limit: int = MAX_QUERIES_SENT, small_corpus: bool = False) -> DataFrame:
+            send_limit: int = MAX_QUERIES_SENT, small_corpus: bool = False,
+            repeated: bool = False) -> DataFrame:
     """Exact ``(query_id, id, score[, rank])`` of each query's best ``k`` corpus rows.
 
     ``k=None`` returns every score, for matrices and full rankings. ``by`` restricts matches to
     equal values of the named columns. ``earlier_only`` keeps corpus ids below the query id.
     ``small_corpus`` asks to send the corpus, which is done when its size check holds. Ids are
     integers, strings or structs of them (a chunk's document and number); ties go by their order.
+    ``repeated`` says that a pair may meet in several groups; it then counts once.
     """
     by = list(by or [])
     how = Scoring(metric, encoding, dim, k, min_score, exclude_self, earlier_only)
@@ -280,6 +282,8 @@ def similar(queries: DataFrame, corpus: DataFrame, k: int | None = None, *,
                                right.withColumn("_all", F.lit(0)), ["_all"])
         scored = _grid(left, right, by, how)
     scored = scored.drop("rank")  # the rank inside one task or block
+    if repeated:
+        scored = scored.dropDuplicates(["query_id", "id"])
     if k is None:
         return scored
     ranked = top_k(scored, k, ["query_id"], [F.desc("score"), F.asc("id")])

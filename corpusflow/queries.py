@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .functions import text as T
 from .functions import vector as V
 from .functions.embed import DIM, signature
+from .operators import approximate as A
 from .operators import cache as C
 from .operators import chunking as K
 from .operators import context as X
@@ -143,16 +144,22 @@ def multi_query_union(spark, sf):
     return _multi_query(spark, sf)
 
 
+def _ann(spark, sf):
+    """Approximate top-5 over a stored index."""
+    root = scratch_path(spark, "vector-index")
+    stores.save(A.index_vectors(vectors(spark, sf)), root)
+    return A.nearest_approximate(vector_queries(spark, sf), stores.load(spark, root), 5, exclude_self=True)
+
+
+@query
+def ann_topk(spark, sf):
+    return _ann(spark, sf)
+
+
 @query
 def ann_recall(spark, sf):
-    corpus, queries = vectors(spark, sf), vector_queries(spark, sf)
-    cells = R.cell_count(corpus)
-    model = R.train_cells(corpus, cells)
-    root = scratch_path(spark, "cells")
-    stores.save(R.with_cell(model, corpus), root, partition_by=["cell"])
-    found = R.nearest_approximate(queries, stores.load(spark, root), 5, model,
-                                  probes=max(1, cells // 3), exclude_self=True)
-    return R.recall(found, R.nearest(queries, corpus, 5, exclude_self=True))
+    exact = R.nearest(vector_queries(spark, sf), vectors(spark, sf), 5, exclude_self=True)
+    return A.recall(_ann(spark, sf), exact)
 
 
 # --- sparse and fused retrieval --------------------------------------------------------------

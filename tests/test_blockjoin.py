@@ -102,18 +102,6 @@ def test_mmr_first_pick_is_best_and_picks_differ(spark, data):
     assert {r.query_id: r.id for r in picks if r.rank == 1} == best
 
 
-def test_approximate_search_with_all_cells_is_exact_and_recall_holds(spark, data):
-    ids, c, q_ids, q = data
-    asked, rows = frame(spark, q_ids, q, "query_id"), frame(spark, ids, c)
-    model = R.train_cells(rows, cells=6)
-    exact = R.nearest(asked, rows, 4)
-    index = R.with_cell(model, rows)
-    every = R.nearest_approximate(asked, index, 4, model, probes=6)
-    assert got(every) == got(exact)
-    some = R.recall(R.nearest_approximate(asked, index, 4, model, probes=3), exact).collect()
-    assert sum(r.n_found for r in some) >= 0.6 * sum(r.n_exact for r in some)
-
-
 def test_struct_and_string_ids_in_the_grid(spark):
     rng = np.random.default_rng(3)
     rows = [(f"d{i % 7}", i, rng.normal(size=4).round(1).tolist()) for i in range(40)]
