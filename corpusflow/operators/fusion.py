@@ -7,12 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.embed import DIM, signature
 from ..functions.text import text_key
+from ..plans.blockjoin import similar
 from ..plans.ranking import top_k, with_rank
-from .retrieval import similar
-from .sparse import bm25
-from ..functions.embed import DIM, signature
 from ..plans.sizing import few_rows, rows_of, spread
+from .inverted import TextIndex
+from .sparse import bm25
 
 RRF_CONSTANT = 60
 
@@ -24,15 +25,18 @@ def fuse(lists: list[DataFrame], weights: list[float], docs: DataFrame, k: int |
 
     Equal texts are one document: their scores add up, also inside one list, and the first seen
     row gives the id. ``first_rank`` is the rank base inside the formula. One shuffle on
-    (query, text) replaces an outer join of the lists. ``small`` as in ``rows_of``.
+    (query, text) replaces an outer join of the lists. Texts are hashed before they meet the
+    lists; ``docs`` with a column ``text_key`` (a stored index) are not hashed again. ``small`` as
+    in ``rows_of``.
     """
+    key = F.col("text_key") if "text_key" in docs.columns else text_key(text).alias("text_key")
     parts = [
         ranked.select("query_id", "id", F.lit(n).alias("list_no"), "rank",
                       (F.lit(float(w)) / (F.col("rank") - 1 + first_rank + constant)).alias("part"))
         for n, (ranked, w) in enumerate(zip(lists, weights, strict=True))]
     union = reduce(DataFrame.unionByName, parts)
-    keyed = rows_of(union, docs, [F.col(id).alias("id"), F.col(text).alias("text")], small)
-    fused = keyed.groupBy("query_id", text_key("text").alias("text_key")).agg(
+    keyed = rows_of(union, docs, [F.col(id).alias("id"), key], small)
+    fused = keyed.groupBy("query_id", "text_key").agg(
         F.min_by("id", F.struct("list_no", "rank")).alias("id"),
         F.round(F.sum("part"), 9).alias("score")).drop("text_key")
     order = [F.desc("score"), F.asc("id")]
@@ -47,26 +51,38 @@ def dense_text_search(queries: DataFrame, docs: DataFrame, k: int, *, id: str =
                       text: str = "text", query_id: str = "query_id", query: str = "query",
                       dim: int = DIM, **options) -> DataFrame:
     """Dense top-k from raw text. Signatures go to the block join, which adds them up there."""
-    left = queries.select(F.col(query_id).alias("query_id"), signature(query, dim).alias("codes"))
-    right = spread(docs.select(id, text), id).select(
+    coded = spread(docs.select(id, text), id).select(
         F.col(id).alias("id"), signature(text, dim).alias("codes"))
-    return similar(left, right, k, query_vec="codes", vec="codes", encoding="signature", dim=dim,
-                   **options)
+    return search_codes(queries, coded, k, query_id=query_id, query=query, dim=dim, **options)
+
+
+def search_codes(queries: DataFrame, coded: DataFrame, k: int, *, query_id: str = "query_id",
+                 query: str = "query", dim: int = DIM, **options) -> DataFrame:
+    """Dense top-k over ``(id, codes)``, the stored signatures of documents or chunks."""
+    left = queries.select(F.col(query_id).alias("query_id"), signature(query, dim).alias("codes"))
+    return similar(left, coded, k, query_vec="codes", vec="codes", encoding="signature", dim=dim, **options)
+
+
+def _legs(queries: DataFrame, docs: DataFrame, k: int, dim: int, index: TextIndex | None):
+    """BM25 and dense lists of ``k`` rows each, and the rows that tell equal texts."""
+    if index is None:
+        return [bm25(queries, docs, k), dense_text_search(queries, docs, k, dim=dim)], docs, "doc_id"
+    rows = index.docs()
+    return [index.search(queries, k), search_codes(queries, rows.select("id", "codes"), k, dim=dim)], rows, "id"
 
 
 def hybrid_search(queries: DataFrame, docs: DataFrame, k: int = 4, bm25_weight: float = 0.5,
-                  dim: int = DIM) -> DataFrame:
-    """BM25 and dense lists of ``k`` rows each, fused with weights ``w`` and ``1 - w``."""
-    sparse = bm25(queries, docs, k)
-    dense = dense_text_search(queries, docs, k, dim=dim)
-    return fuse([sparse, dense], [bm25_weight, 1.0 - bm25_weight], docs, k,
-                small=few_rows(queries, 2 * k))
+                  dim: int = DIM, index: TextIndex | None = None) -> DataFrame:
+    """BM25 and dense lists of ``k`` rows each, fused with weights ``w`` and ``1 - w``.
+
+    With a stored ``index`` of ``docs`` no text is read.
+    """
+    lists, rows, id = _legs(queries, docs, k, dim, index)
+    return fuse(lists, [bm25_weight, 1.0 - bm25_weight], rows, k, id=id, small=few_rows(queries, 2 * k))
 
 
 def ensemble_search(queries: DataFrame, docs: DataFrame, k: int = 2, weights=(0.4, 0.6),
-                    dim: int = DIM) -> DataFrame:
+                    dim: int = DIM, index: TextIndex | None = None) -> DataFrame:
     """Two legs of ``k`` rows, 1-based ranks in the formula, nothing cut from the fused list."""
-    sparse = bm25(queries, docs, k)
-    dense = dense_text_search(queries, docs, k, dim=dim)
-    return fuse([sparse, dense], list(weights), docs, None, first_rank=1,
-                small=few_rows(queries, 2 * k))
+    lists, rows, id = _legs(queries, docs, k, dim, index)
+    return fuse(lists, list(weights), rows, None, first_rank=1, id=id, small=few_rows(queries, 2 * k))

@@ -58,8 +58,8 @@ def wanted_stats(index: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFr
 
     Each document adds one null term that carries its length.
     """
-    marked = explode_list(index, ["n_terms"], F.array_append(
-        F.array_distinct("terms"), F.lit(None).cast("string")), "term")
+    known_terms = F.coalesce(F.array_distinct("terms"), F.array().cast("array<string>"))  # a null text is a document too
+    marked = explode_list(index, ["n_terms"], F.array_append(known_terms, F.lit(None).cast("string")), "term")
     known = F.broadcast(wanted.select("term").distinct().withColumn("hit", F.lit(True)))
     kept = marked.join(known, "term", "left").where(F.col("hit") | F.col("term").isNull())
     counts = materialise(kept.groupBy("term").agg(

@@ -195,6 +195,7 @@ ORACLE["stream_cache"] = _REPLAY
 # --- sparse and fused retrieval --------------------------------------------------------------
 
 ORACLE["bm25_topk"] = f"WITH {_bm25('bm', 4)} SELECT query_id, id, rank, score FROM bm"
+ORACLE["bm25_merged"] = ORACLE["bm25_topk"]
 ORACLE["bm25_incremental"] = ORACLE["bm25_topk"]
 ORACLE["stream_ingest"] = ORACLE["bm25_topk"]
 ORACLE["dense_text_topk"] = f"WITH {_dense('de', 4)} SELECT query_id, id, rank, score FROM de"

@@ -79,6 +79,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write once to the shared folder and read back: columnar, pruned, and computed a single time."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rebalance a narrow, compute-heavy job only when the input has too few files.
 

@@ -25,9 +25,11 @@ from .operators import fusion as U
 from .operators import retrieval as R
 from .operators import sparse as S
 from .operators import usage as G
+from .operators.inverted import TextIndex
 from .plans.ranking import explode_list
 from .plans.sizing import few_rows, materialise, rows_of, scratch_path, spread
 from .sources import files, stores
+from .sources.manifest import state_of
 from .streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +79,24 @@ def label_means(spark, sf) -> DataFrame:
     return materialise(means)  # a few rows; the size check and the search then read these alone
 
 
+_INDEXES: dict[tuple, TextIndex] = {}
+
+
+def text_index(spark, sf, *batches: str) -> TextIndex:
+    """Stored index of the documents, one batch for each condition.
+
+    It is built at its first use in a session, and again when a file of the table has changed.
+    """
+    batches = batches or ("true",)
+    key = (spark.sparkContext.applicationId, state_of(spark, f"{sf}/documents.parquet"), batches)
+    if key not in _INDEXES:
+        index = TextIndex(spark, scratch_path(spark, "text-index"))
+        for n, condition in enumerate(batches):
+            index.append(f"{n:04d}", documents(spark, sf).where(condition))
+        _INDEXES[key] = index
+    return _INDEXES[key]
+
+
 # --- dense retrieval -------------------------------------------------------------------------
 
 @query
@@ -129,9 +149,7 @@ def _rewrites(spark, sf):
 
 
 def _coded_documents(spark, sf):
-    docs = documents(spark, sf)
-    return spread(docs.select("doc_id", "text"), "doc_id").select(
-        F.col("doc_id").alias("id"), signature("text").alias("codes"))
+    return text_index(spark, sf).docs().select("id", "codes")
 
 
 def _multi_query(spark, sf):
@@ -166,43 +184,47 @@ def ann_recall(spark, sf):
 
 @query
 def bm25_topk(spark, sf):
-    return S.bm25(text_queries(spark, sf), documents(spark, sf), 4)
+    return text_index(spark, sf).search(text_queries(spark, sf), 4)
 
 
 @query
 def bm25_incremental(spark, sf):
-    """The corpus arrives in two batches; only the additive statistics are merged."""
-    docs = documents(spark, sf)
-    batches = [S.index_documents(docs.where(F.col("lang") == "en")),
-               S.index_documents(docs.where(~F.col("lang").eqNullSafe("en")))]
-    return S.bm25(text_queries(spark, sf), docs, 4,
-                  stats=S.merge_stats(*[S.term_stats(b) for b in batches]),
-                  totals=S.merge_corpus_stats(*[S.corpus_stats(b) for b in batches]))
+    """The corpus arrives in two batches, each stored by itself and searched with the other."""
+    return text_index(spark, sf, "lang = 'en'", "NOT lang <=> 'en'").search(text_queries(spark, sf), 4)
+
+
+@query
+def bm25_merged(spark, sf):
+    """Three batches, merged into one from their stored postings."""
+    index = text_index(spark, sf, "doc_id % 3 = 0", "doc_id % 3 = 1", "NOT doc_id % 3 <=> 0 AND NOT doc_id % 3 <=> 1")
+    index.compact("merged")
+    return index.search(text_queries(spark, sf), 4)
 
 
 @query
 def dense_text_topk(spark, sf):
-    return U.dense_text_search(text_queries(spark, sf), documents(spark, sf), 4)
+    return U.search_codes(text_queries(spark, sf), text_index(spark, sf).docs().select("id", "codes"), 4)
 
 
 @query
 def rrf_fusion(spark, sf):
     """Three lists: BM25, dense, and BM25 over the documents labelled as good."""
-    q, docs = text_queries(spark, sf), documents(spark, sf)
+    q, docs, index = text_queries(spark, sf), documents(spark, sf), text_index(spark, sf)
     good = table(spark, sf, "labels").where(F.col("quality") == 1).select("doc_id")
-    lists = [S.bm25(q, docs, 3), U.dense_text_search(q, docs, 3),
+    rows = index.docs()
+    lists = [index.search(q, 3), U.search_codes(q, rows.select("id", "codes"), 3),
              S.bm25(q, docs.join(good, "doc_id", "left_semi"), 3)]
-    return U.fuse(lists, [0.5, 0.3, 0.2], docs, 3, small=few_rows(q, 9))
+    return U.fuse(lists, [0.5, 0.3, 0.2], rows, 3, id="id", small=few_rows(q, 9))
 
 
 @query
 def hybrid_search(spark, sf):
-    return U.hybrid_search(text_queries(spark, sf), documents(spark, sf), 4, 0.5)
+    return U.hybrid_search(text_queries(spark, sf), documents(spark, sf), 4, 0.5, index=text_index(spark, sf))
 
 
 @query
 def ensemble_search(spark, sf):
-    return U.ensemble_search(text_queries(spark, sf), documents(spark, sf), 2, (0.4, 0.6))
+    return U.ensemble_search(text_queries(spark, sf), documents(spark, sf), 2, (0.4, 0.6), index=text_index(spark, sf))
 
 
 @query
@@ -213,7 +235,7 @@ def parent_retrieve(spark, sf):
 
 def _ranked_texts(spark, sf, k, ranked=None):
     q = text_queries(spark, sf)
-    ranked = S.bm25(q, documents(spark, sf), k) if ranked is None else ranked
+    ranked = text_index(spark, sf).search(q, k) if ranked is None else ranked
     return rows_of(ranked, documents(spark, sf),
                    [F.col("doc_id").alias("id"), "text", "lang", "source"], few_rows(q, k))
 
