@@ -115,15 +115,16 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: st
           held_out: Column | None = None, most: int = SAMPLE) -> LanguageModel:
     """Model of the languages named in ``label``, from about ``most`` rows, even over languages.
 
-    Rows where ``held_out`` is true, or without text or label, teach nothing. The n-grams of the
-    sample are counted in tasks over whole texts; a row comes back as its
-    buckets and their shares.
+    Rows where ``held_out`` is true, or without text or label, teach nothing. Rows are drawn by id
+    and text, and rows that share both are one. The n-grams of the sample are counted in tasks
+    over whole texts; a row comes back as its buckets and their shares.
     """
     rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull())
     if held_out is not None:
         rows = rows.where(~held_out)
     rows = rows.select(F.col(doc_id).alias("id"), F.col(label).cast("string").alias("label"), F.col(text).alias("text"))
-    keep, counts = chosen(rows.select("id", "label"), "label", "id", most)
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    keep, counts = chosen(rows.select("label"), "label", most, F.col("id"), F.col("h"))
     if not counts:
         return LanguageModel([], np.zeros((0, (1 << BITS) + 1), np.float32), 1.0)
 
@@ -134,7 +135,8 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: st
                 [part.column(0), pa.array(list(at), pa.list_(pa.int32())), pa.array(list(share), pa.list_(pa.float32()))],
                 ["label", "at", "share"])
 
-    got = rows.where(keep).select("label", "text").mapInArrow(count, "label string, at array<int>, share array<float>").toArrow()
+    drawn = rows.where(keep).groupBy("id", "h", "label").agg(F.min("text").alias("text"))
+    got = drawn.select("label", "text").mapInArrow(count, "label string, at array<int>, share array<float>").toArrow()
     names = sorted(counts)
     bags = [(at.values.to_numpy(), share.values.to_numpy()) for at, share in zip(got.column("at"), got.column("share"), strict=True)]
     labels = [names.index(x) for x in got.column("label").to_pylist()]

@@ -12,7 +12,6 @@ import re
 from collections.abc import Iterator
 from functools import cache
 
-import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,7 +82,7 @@ def evaluate(expression: str) -> tuple[list[str], int] | None:
     stack, ids = [], []
     for token in order:
         if token not in ORDER:
-            reach = next((r for family, r in FAMILIES if token.startswith(family)), 3)
+            reach = next((r for family, r in FAMILIES if token == family or token.startswith((f"{family}-", f"{family}+"))), 3)
             stack.append((reach, token))
             continue
         (b, b_id), (a, a_id) = stack.pop(), stack.pop()
@@ -100,7 +99,8 @@ def evaluate(expression: str) -> tuple[list[str], int] | None:
 
 
 @cache
-def automaton() -> ahocorasick.Automaton:
+def automaton():
+    import ahocorasick
     found = ahocorasick.Automaton()
     for phrases, base in ((BASE, True), (NOTICES, False), ({TAG_WORDS: ""}, False)):
         for phrase, label in phrases.items():

@@ -87,11 +87,13 @@ def grams(codes: np.ndarray, least: int, most: int, bits: int) -> Iterator[np.nd
                 yield at
 
 
-def chosen(rows: DataFrame, label: str, doc_id: str, most: int, max_classes: int = 1000) -> tuple[Column, dict]:
+def chosen(rows: DataFrame, label: str, most: int, *key: Column, max_classes: int = 1000) -> tuple[Column, dict]:
     """Condition that keeps about ``most`` labelled rows, as even over the classes as they allow.
 
-    Whether a row is kept depends on its id and its class's share alone. The counts of the
-    classes, one small combined aggregate, are the only thing that comes to the driver.
+    Whether a row is kept depends on its ``key`` and its class's share alone, so rows of one key
+    are kept or left together: a key tells texts apart, not ids alone. The counts of the classes,
+    one small combined aggregate, are the only thing that comes to the driver. A model has at
+    most ``max_classes`` classes, the most frequent ones.
     """
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_classes).collect()
               if r[0] is not None}
@@ -102,4 +104,4 @@ def chosen(rows: DataFrame, label: str, doc_id: str, most: int, max_classes: int
         share[name] = min(1.0, left / todo / n)
         left, todo = left - min(n, left / todo), todo - 1
     rate = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(v))])
-    return uniform(F.lit("sample"), F.col(doc_id)) < F.coalesce(F.try_element_at(rate, F.col(label)), F.lit(0.0)), counts
+    return uniform(F.lit("sample"), *key) < F.coalesce(F.try_element_at(rate, F.col(label)), F.lit(0.0)), counts

@@ -2,8 +2,9 @@
 
 A batch of changes (inserts, deletes, revised counts) becomes one small table of signed sums by
 source, language and tokenizer version, stored under the batch's name. Totals are the sum over
-stored batches, so they never need the documents again. A batch that was stored is not stored
-twice, however often it is sent, and one that broke off before its end counts as not stored.
+stored batches, so they never need the documents again. A batch is stored once its mark stands,
+which is written last: one that was stored is not stored twice, however often it is sent, and one
+that broke off before counts neither as stored nor in the totals.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.plans.sizing import path_exists, scratch_path
+from corpusflow.plans.sizing import scratch_path
 
-from .common import fold_of, stored
+from .common import fold_of, marked, set_mark, stored, table_in
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how texts are cut before byte pairs are merged.
@@ -65,8 +66,9 @@ class Rollup:
     """Additive totals in a folder of batches.
 
     ``changes`` have ``op`` (insert, delete, revise), ``before`` and ``after`` (token counts) and
-    the key columns. Null keys are keys; null counts are zero; an unknown or null ``op`` is an
-    error. Repeated rows are repeated changes; an empty batch is stored as such.
+    the key columns, which are strings. A document that moves to another key is a delete there and
+    an insert here, in one batch. Null keys are keys; null counts are zero; an unknown or null
+    ``op`` is an error. Repeated rows are repeated changes; an empty batch is stored as such.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...] = KEYS):
@@ -80,7 +82,7 @@ class Rollup:
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Store a batch unless it is stored; tells whether it was new."""
         folder = self._folder(batch)
-        if path_exists(self.spark, f"{folder}/_SUCCESS"):  # written when all of a batch is there
+        if folder in marked(self.spark, self.path):
             return False
         known = F.col("op").isin("insert", "delete", "revise")
         op = F.when(F.coalesce(known, F.lit(False)), F.col("op")).otherwise(F.raise_error(F.concat(F.lit("unknown op "), F.coalesce("op", F.lit("null")))))
@@ -88,12 +90,14 @@ class Rollup:
         docs = F.when(op == "insert", 1).when(op == "delete", -1).otherwise(0).cast("long")
         tokens = F.when(op == "insert", after).when(op == "delete", -before).otherwise(after - before).cast("long")
         (changes.groupBy(*self.keys).agg(F.sum(docs).alias("n_docs"), F.sum(tokens).alias("n_tokens"), F.count(F.lit(1)).alias("n_changes"))
-         .write.mode("overwrite").parquet(folder))  # one small row for each key
+         .write.mode("overwrite").parquet(f"{folder}/deltas"))  # one small row for each key
+        set_mark(self.spark, folder)
         return True
 
     def totals(self) -> DataFrame:
-        """Documents, tokens and changes of each key over all stored batches."""
-        deltas = self.spark.read.parquet(f"{self.path}/batch=*")
+        """Documents, tokens and changes of each key over all stored batches; empty without any."""
+        schema = ", ".join([*(f"{k} string" for k in self.keys), "n_docs long, n_tokens long, n_changes long"])
+        deltas = table_in(self.spark, marked(self.spark, self.path), "deltas", schema)
         return deltas.groupBy(*self.keys).agg(*[F.sum(c).cast("long").alias(c) for c in ("n_docs", "n_tokens", "n_changes")])
 
 

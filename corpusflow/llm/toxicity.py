@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.plans.sizing import broadcast_if_small, materialise
@@ -29,8 +30,8 @@ BITS = 18               # log2 of the number of buckets
 WIDTH = 8               # of a vector
 SPAN = 4                # words of a window
 EXTRA = "0123456789@$*"  # signs that stand in for letters
-SAMPLE = 3000           # labelled documents that the model learns from, at most
-LONGEST = 20_000        # characters of a document that may be in this sample
+SAMPLE = 3000           # labelled documents that the model learns from, about
+LETTERS = 40_000_000    # characters of the sample together; documents past that are not drawn
 LIMIT = 0.3             # score from which a document is predicted toxic
 
 
@@ -41,7 +42,10 @@ class ToxicityModel:
     shift: float
 
     def predict(self, texts: list[str]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * worst(texts, self.scores) + self.shift, -30, 30)))
+        raw = worst(texts, self.scores)
+        there = np.isfinite(raw)  # a text without words says nothing: the low end of the curve, whatever the share of labels
+        z = np.where(there, self.slope * np.where(there, raw, 0.0) + self.shift, -30.0)
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def words_of(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,7 +56,7 @@ def words_of(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def worst(texts: list[str], scores: np.ndarray) -> np.ndarray:
-    """Largest window logit of each text; 0 without words."""
+    """Largest window logit of each text; minus infinity without words."""
     out = np.full(len(texts), -np.inf)
     for codes, owners, starts in pieces(texts, alphabet(EXTRA)):
         at, span = words_of(codes, starts)
@@ -72,7 +76,7 @@ def worst(texts: list[str], scores: np.ndarray) -> np.ndarray:
         whole = (end - begin == SPAN) | (end == stop)       # shorter windows only for shorter texts
         value = np.where(whole, (sums[end] - sums[begin]) / (end - begin), -np.inf)
         np.maximum.at(out, owners[span], value)
-    return np.where(np.isfinite(out), out, 0.0)
+    return out
 
 
 class _Words:
@@ -174,12 +178,15 @@ def learn(texts: list[str], labels: np.ndarray, share: float, rounds: int = 5, s
             e[touched] -= np.float32(0.5) * g / np.sqrt(e_seen[touched])[:, None]
     scores = np.append(e @ (w[:, 1] - w[:, 0]), np.float32(0)).astype(np.float32)
     check = np.flatnonzero(kept_out) if len(set(labels[kept_out].tolist())) == 2 else np.arange(len(texts))
-    slope, shift = logistic(worst([texts[i] for i in check], scores), labels[check], share)
+    raw = worst([texts[i] for i in check], scores)
+    slope, shift = logistic(raw[np.isfinite(raw)], labels[check][np.isfinite(raw)], share)
     return ToxicityModel(scores, slope, shift)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, share: float, steps: int = 60) -> tuple[float, float]:
     """Slope (not negative) and shift of a logistic curve by Newton steps, with classes weighted to ``share``."""
+    if not len(x):
+        return 0.0, -30.0
     scale = x.std() or 1.0
     weight = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     f = np.stack([(x - x.mean()) / scale, np.ones(len(x))], axis=1)
@@ -197,20 +204,26 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
           held_out: Column | None = None, most: int = SAMPLE) -> ToxicityModel:
     """Model of the documents that ``labels`` marks 1, from about ``most`` labelled documents.
 
-    A document with several labels is toxic if one of them says so; null ids and labels, ids
-    that ``held_out`` excludes, and documents over ``LONGEST`` characters teach nothing.
+    A document with several labels is toxic if one of them says so; null ids and labels and ids
+    that ``held_out`` excludes teach nothing. Of an id on several rows one text is taken. Texts
+    are learned from whole; the sample has at most ``LETTERS`` characters, drawn by hashed id.
     """
     marks = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
     if held_out is not None:
         marks = marks.where(~held_out)
     marks = marks.groupBy(F.col(doc_id).alias("id")).agg((F.max(F.col(label).cast("int")) > 0).cast("int").alias("label"))
-    keep, counts = chosen(marks, "label", "id", most)
-    sample = materialise(marks.where(keep))
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).where(
-        F.col("text").isNotNull() & (F.length("text") <= LONGEST))
-    got = texts.join(broadcast_if_small(sample), "id").select("id", "label", "text").toArrow()
+    keep, counts = chosen(marks, "label", most, F.col("id"))
+    sample = broadcast_if_small(materialise(marks.where(keep)))
+    found = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL").join(sample, "id")
+    # One text of each id, the least by hash: combined in each task, so a repeated id does not pile up.
+    sizes = materialise(found.groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.length("text").alias("n"))).alias("t"))
+                        .select("id", "label", "t.h", "t.n"))
+    so_far = F.sum("n").over(W.orderBy(F.xxhash64("id"), "id").rowsBetween(W.unboundedPreceding, 0))  # about ``most`` rows
+    drawn = sizes.withColumn("upto", so_far).where((F.col("upto") <= LETTERS) | (F.col("upto") == F.col("n"))).select("id", "h")
+    texts = found.join(broadcast_if_small(materialise(drawn)), "id").where(F.xxhash64("text") == F.col("h"))
+    got = texts.groupBy("id").agg(F.max("label").alias("label"), F.min("text").alias("text")).toArrow()
     rows = sorted(zip(got.column("id").to_pylist(), got.column("label").to_pylist(), got.column("text").to_pylist(), strict=True))
-    rows = [rows[i] for i in np.random.default_rng(17).permutation(len(rows))][:2 * most]
+    rows = [rows[i] for i in np.random.default_rng(17).permutation(len(rows))]
     share = counts.get(1, 0) / max(sum(counts.values()), 1)
     return learn([r[2] for r in rows], np.array([r[1] for r in rows], np.int64), share)
 
@@ -218,7 +231,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", limit: float = LIMIT) -> DataFrame:
     """``docs`` with ``score`` and ``predicted`` (1 from ``limit`` on), from each whole text alone.
 
-    A null or blank text has raw score 0 and gets the probability that the model gives to that.
+    A null or blank text has no window and gets the low end of the curve, near 0.
     Repeated rows score alike; other columns pass through, and columns of the two names are
     replaced. An empty table gives an empty result; a model without both classes scores all alike.
     """

@@ -50,3 +50,12 @@ def test_long_text_is_read_whole(documents, frame):
     model = language_id.train(documents)
     text = "der die und nicht ein ist zu " * 30_000 + "the and of that with from was " * 90_000
     assert language_id.identify(frame([(1, text)], SCHEMA), model).first().lang_pred == "en"
+
+
+def test_a_repeated_id_is_no_reason_to_be_drawn_whole(frame, monkeypatch):
+    seen = []
+    real = language_id.learn
+    monkeypatch.setattr(language_id, "learn", lambda labels, bags, names: seen.append(len(bags)) or real(labels, bags, names, epochs=1))
+    rows = [(None, f"text number {i} of the same null id", "en") for i in range(3000)] + [(5, "one text on many rows", "de")] * 3000
+    language_id.train(frame(rows, SCHEMA + ", lang string"), most=200)
+    assert 40 <= seen[0] <= 200

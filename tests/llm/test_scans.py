@@ -43,6 +43,9 @@ def test_shunting_yard(text, order):
 def test_expressions_are_evaluated(frame):
     assert licenses.evaluate("GPL-3.0 AND MIT")[1] == 2 and licenses.evaluate("GPL-3.0 OR MIT")[1] == 0
     assert licenses.evaluate("GPL-2.0 WITH Classpath-exception-2.0") == (["gpl-2.0 with classpath-exception-2.0"], 1)
+    for other in ("Mitre-9", "gplish", "apachectl", "LicenseRef-mit"):
+        assert licenses.evaluate(other)[1] == 3
+    assert [licenses.evaluate(x)[1] for x in ("MIT", "MIT-0", "GPL-2.0+", "gpl+", "CC-BY-SA-4.0", "CC-BY-4.0")] == [0, 0, 2, 2, 2, 0]
     text = "// SPDX-License-Identifier: (GPL-2.0-only OR MIT)\ncode"
     row = licenses.licenses(frame([(1, text)], SCHEMA)).first()
     assert (row.labels, row.score, row.reach, row.n_base) == ("gpl-2.0-only,mit", 1.0, "permissive", 0)
@@ -105,9 +108,14 @@ def test_batches_are_committed_once(spark, tmp_path):
     assert rollup.commit("b2", spark.createDataFrame([("a", "en", "v1", "revise", 10, 12), ("a", "en", "v1", "delete", 5, None)], schema))
     got = {(r.source, r.version): (r.n_docs, r.n_tokens) for r in rollup.totals().collect()}
     assert got == {("a", "v1"): (1, 12), (None, "v1"): (1, 0)}
-    (tmp_path / "r" / "batch=b2" / "_SUCCESS").unlink()  # broke off before its end: sent again, stored anew
+    (tmp_path / "r" / "batch=b2" / "_COMMITTED").unlink()  # broke off before its end: does not count, is sent again, stored anew
+    assert {r.source: r.n_tokens for r in rollup.totals().collect()} == {"a": 15, None: 0}
     assert rollup.commit("b2", spark.createDataFrame([("a", "en", "v1", "delete", 5, None)], schema))
     assert {r.source: r.n_tokens for r in rollup.totals().collect()} == {"a": 10, None: 0}
+    assert token_counts.Rollup(spark, f"file://{tmp_path}/none").totals().collect() == []
+    moved = spark.createDataFrame([("a", "en", "v1", "delete", 10, None), ("b", "en", "v1", "insert", None, 10)], schema)
+    assert rollup.commit("move", moved)
+    assert {r.source: (r.n_docs, r.n_tokens) for r in rollup.totals().collect()} == {"a": (0, 0), "b": (1, 10), None: (1, 0)}
     with pytest.raises(Exception, match="unknown op"):
         rollup.commit("b3", spark.createDataFrame([("a", "en", "v1", "move", 1, 1)], schema))
     with pytest.raises(ValueError, match="batch name"):
@@ -142,3 +150,13 @@ def test_toxicity_misspellings_and_odd_rows(spark, frame):
     assert toxicity.score_toxicity(frame([], SCHEMA), model).collect() == []
     none = toxicity.train(docs, labels.limit(0))
     assert {r.predicted for r in toxicity.score_toxicity(docs, none).collect()} == {0}
+
+
+def test_toxicity_learns_from_long_texts_and_one_text_of_a_repeated_id(spark, frame):
+    clean = [(i, f"calm words number {i} " * 20) for i in range(60)]
+    toxic = [(100 + i, "calm words " * 4000 + "vile scum " + "calm words " * 4000) for i in range(30)]
+    hot = [(7, f"other text {i}") for i in range(500)] + [(100, "gentle")] * 500
+    marks = frame([(i, int(i >= 100)) for i, _ in clean + toxic], "doc_id long, toxic int")
+    model = toxicity.train(frame(clean + toxic + hot, SCHEMA), marks)
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(frame([(1, "vile scum"), (2, "calm words number 3"), (3, " \n ")], SCHEMA), model).collect()}
+    assert got == {1: 1, 2: 0, 3: 0}
