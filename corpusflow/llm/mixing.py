@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from corpusflow.plans.ranking import number_rows
 from corpusflow.plans.sizing import broadcast_if_small
 
-from .common import stored, text_or_empty, uniform
+from .common import fresh, stored, text_or_empty, uniform
 
 WEIGHTS = (5, 2, 1)  # of the sources by name, over and over
 SHARE = 1.5          # of all sizes that the mix holds
@@ -134,18 +134,20 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is taken, all columns kept.
+    """The mix itself: each row of ``docs`` as often as it is taken, all columns kept, whatever their names.
 
-    Texts move only if the counts are too many to be sent to where the texts are.
+    Texts move only if the counts are too many to be sent to where the texts are. Rows with equal
+    id, text and source share their copies in turn; null ids, texts and sources are values like
+    others, and an empty table gives an empty result.
     """
-    n, key, of, nth = "_copies", "_row_hash", "_of", "_nth"
-    plan = copies(docs, doc_id, text, source).groupBy(F.col("doc_id").alias("_id"), F.col("row_hash").alias(key)).agg(
+    ident, key, n, of, nth, own = fresh(docs, "_id", "_row_hash", "_copies", "_of", "_nth", "_hash")
+    plan = copies(docs, doc_id, text, source).groupBy(F.col("doc_id").alias(ident), F.col("row_hash").alias(key)).agg(
         F.sum("copies").alias(n), F.count(F.lit(1)).alias(of))
     plan = stored(plan, "mix-plan")
-    rows = docs.withColumn("_hash", F.xxhash64(F.col(text), F.col(doc_id), F.col(source)))
-    rows = rows.join(plan, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col(key)))
+    rows = docs.withColumn(own, F.xxhash64(F.col(text), F.col(doc_id), F.col(source)))
+    rows = rows.join(plan, F.col(doc_id).eqNullSafe(F.col(ident)) & (F.col(own) == F.col(key)))
     # Rows that are there once, nearly all, take all copies; rows of one key share them in turn.
-    shared = W.partitionBy("_id", key).orderBy(F.lit(1))
+    shared = W.partitionBy(ident, key).orderBy(F.lit(1))
     many = rows.where(F.col(of) > 1).withColumn(nth, F.row_number().over(shared))
     many = many.withColumn(n, F.floor((F.col(n) + F.col(of) - F.col(nth)) / F.col(of))).drop(nth)
     rows = rows.where(F.col(of) == 1).unionByName(many)

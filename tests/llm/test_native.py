@@ -119,3 +119,24 @@ def test_repeated_ids_and_null_ids_in_dedup(spark, frame):
             (3, None, None, None, None), (4, "", "en", "s", 0)]
     out = p.drop_near_duplicates(spark, frame(rows, schema), "").collect()
     assert sorted((r.doc_id or 0) for r in out) == [0, 1, 3]
+
+
+def test_stages_keep_columns_with_clashing_names(spark, frame, documents):
+    import corpus_pipeline as p
+    sf = "/root/testdata/sf0.001"
+    names = ["score", "lang_pred", "rejected", "_id", "_drop", "_twice", "_copies", "_of", "_nth", "_hash", "_row_hash", "_row", "guess"]
+    docs = documents.where("doc_id < 60").selectExpr("*", *[f"doc_id + {k} AS `{c}`" for k, c in enumerate(names)])
+    for name, stage in p.STAGES[:-1]:
+        out = p.stored(stage(spark, docs, sf), f"clash-{name}")
+        assert out.columns == docs.columns and out.count()
+        assert out.where(" OR ".join(f"`{c}` <> doc_id + {k}" for k, c in enumerate(names))).isEmpty()
+
+
+def test_leaks_without_an_id_go_and_clean_texts_of_the_same_id_stay(spark, documents):
+    import corpus_pipeline as p
+    sf = "/root/testdata/sf0.001"
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first().text
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(None, "so " + item, "en", "s", 1), (None, "a clean text", "en", "s", 1), (7, item, "en", "s", 1), (7, "another clean text", "en", "s", 1), (8, None, None, None, None)]
+    out = p.drop_benchmark_leaks(spark, spark.createDataFrame(rows, schema), sf).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == [(0, "a clean text"), (7, "another clean text"), (8, "")]
