@@ -1,27 +1,25 @@
 """File readers. Each gives ``text, file_name, file_type, location, metadata`` rows, lazily.
 
 A reader is a function ``(spark, path) -> DataFrame``; ``READERS`` maps lower-case extensions to
-readers and takes new ones. A missing path gives an empty table, files that cannot be decoded go
-to ``quarantined_csv`` / ``quarantined_json``, and unknown extensions are ignored.
+readers and takes new ones. A missing path gives an empty table, what cannot be read goes to
+``quarantine`` with a reason, and unknown extensions are ignored.
 """
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.chunking import explode_chunks, recursive
 from ..plans.ranking import explode_list
-from ..plans.sizing import broadcast_if_small, materialise, path_exists
+from ..plans.sizing import broadcast_if_small, path_exists
+from .blocks import csv_fields, csv_header, csv_records, json_elements
 
 SCHEMA = ("text string, file_name string, file_type string, location string, "
           "metadata map<string,string>")
-CORRUPT = "_corrupt_record"
-
 
 # File types and locations by extension.
 FILE_TYPES = {".pdf": "PDF", ".csv": "CSV", ".json": "JSON", ".txt": "Text", ".md": "Markdown"}
@@ -61,6 +59,7 @@ def _document(rows: DataFrame, text, kind, location) -> DataFrame:
 
 
 def _reader(spark: SparkSession, glob: str):
+    """Files that vanish or break off while they are read give what was read; ``quarantine`` lists them."""
     return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
             .option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True))
 
@@ -70,9 +69,8 @@ def _any_case(ext: str) -> str:
 
 
 def read_text(spark: SparkSession, path: str, ext: str = ".txt") -> DataFrame:
-    """One document per file, whatever its length."""
-    rows = (_reader(spark, _any_case(ext)).text(path, wholetext=True)
-            .select("value", *_place()))
+    """One document per file, whatever its length; files that are not UTF-8 go to ``quarantine``."""
+    rows = _reader(spark, _any_case(ext)).text(path, wholetext=True).select("value", *_place()).where(F.is_valid_utf8("value"))
     return _document(rows, F.col("value"), F.lit(FILE_TYPES[ext]), F.lit(WHOLE))
 
 
@@ -80,88 +78,59 @@ def read_markdown(spark: SparkSession, path: str) -> DataFrame:
     return read_text(spark, path, ".md")
 
 
-def row_text(columns: list[str]) -> Column:
+def row_text(names: Column, fields: Column) -> Column:
     """``column: value`` lines of a record."""
-    lines = [F.concat(F.lit(f"{c.strip()}: "), F.trim(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))))
-             for c in columns]
-    return F.array_join(F.array(*lines), "\n")
+    return F.array_join(F.zip_with(names, fields, lambda n, v: F.concat(n, F.lit(": "), F.trim(F.coalesce(v, F.lit(""))))), "\n")
 
 
-def _csv_files(spark: SparkSession, path: str) -> dict[tuple, list[str]]:
-    """Files by header, as files of one folder may differ in their columns.
+def _pieces(path: str, ext: str, separator: str):
+    """Reader of ``(value, _path, _block)``: what stands between separators, in the order of the file."""
+    def read(session: SparkSession) -> DataFrame:
+        return _reader(session, _any_case(ext)).text(path, lineSep=separator).select(
+            "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+    return read
 
-    The first line of each file is found in one distributed pass. The driver gets file names,
-    which it holds for every scan anyway, and one line per distinct header.
-    """
-    lines = (_reader(spark, _any_case(".csv")).text(path)
-             .select("value", F.regexp_replace(_plain("_metadata.file_path"), r"([\[\]{}*?\\])", r"\\$1").alias("file"),
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("at")).where(F.col("block") == 0))
-    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
-    by_head = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files"))
-    out = {}
-    for row in by_head.orderBy("head").toLocalIterator():
-        out.setdefault(_header(row.head), []).extend(row.files)
-    return out
+
+def _named(rows: DataFrame) -> DataFrame:
+    """Plain paths and file names in place of escaped ones."""
+    return rows.withColumn("_path", _plain("_path")).withColumn("_file", F.regexp_extract("_path", r"([^/]+)$", 1))
 
 
-def _header(line: str) -> tuple[str, ...]:
-    """Column names of a header line; nameless columns and repeated names get their place."""
-    names: list[str] = []
-    for i, name in enumerate(next(csv.reader([line.lstrip("\ufeff")]), [])):
-        taken = {n.lower() for n in names}
-        names.append(f"{name}{i}" if name.lower() in taken else name or f"_c{i}")
-    return tuple(names)
+def _csv(spark: SparkSession, path: str, columns: list[str] | None, quoted: bool) -> DataFrame:
+    """Records with their fields and the column names of their file; ``reason`` says what is wrong with one."""
+    rows = csv_records(spark, _pieces(path, ".csv", "\n"), quoted).withColumn("fields", csv_fields("record"))
+    body = rows.where("record_no > 0")
+    if columns:
+        body = body.withColumn("names", F.array(*[F.lit(c.strip()) for c in columns]))
+    else:
+        heads = rows.where("record_no = 0").select("_path", csv_header("record").alias("names"))
+        body = body.join(broadcast_if_small(heads, "length(_path) + 256"), "_path")  # one row for each file
+    reason = (F.when(~F.col("decoded"), "not UTF-8").when(F.col("fields").isNull(), "open quote")
+              .when(F.size("fields") != F.size("names"), "does not fit the header"))
+    return _named(body.withColumn("reason", reason))
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True,
              columns: list[str] | None = None) -> DataFrame:
     """One document per record, located by its 0-based row in the file.
 
-    Quoted line breaks are part of a field; a file is then read by one task. Where no field
-    holds a line break, ``multi_line=False`` keeps files splittable: records are counted per file
-    block, and the counts of the earlier blocks give each block its first row number.
-    ``columns`` skips header discovery when all files share one header.
+    Records are those of RFC 4180: a quoted field may hold line breaks, a doubled quote stands for
+    one. A file is read by as many tasks as it has blocks. ``multi_line=False`` takes every line
+    for a record. ``columns`` are used in place of the files' own headers.
     """
-    groups = {tuple(columns): [path]} if columns else _csv_files(spark, path)
-    out = empty(spark)
-    for head, files in groups.items():
-        out = out.unionByName(_csv_rows(spark, list(head), files, multi_line))
-    return out
+    rows = _csv(spark, path, columns, multi_line).where("reason IS NULL")
+    where = F.concat(F.lit("Row "), (F.col("record_no") - 1).cast("string"))
+    return empty(spark).unionByName(_document(rows, row_text(F.col("names"), F.col("fields")), F.lit("CSV"), where))
+
+
+def quarantined_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """Records that are not UTF-8, leave a quote open or do not fit their header, with their file."""
+    rows = _csv(spark, path, columns, multi_line).where("reason IS NOT NULL")
+    return _rejects(spark).unionByName(rows.select(F.col("_file").alias("file_name"), "record", "reason"))
 
 
-def _csv_scan(spark, head, files, multi_line):
-    schema = ", ".join(f"`{c}` string" for c in head) + f", `{CORRUPT}` string"
-    return (_reader(spark, _any_case(".csv")).schema(schema)
-            .csv(files, header=True, multiLine=multi_line, mode="PERMISSIVE",
-                 columnNameOfCorruptRecord=CORRUPT))
-
-
-def _csv_rows(spark, head, files, multi_line) -> DataFrame:
-    # Checkpointed: how files are cut into blocks depends on the cores at hand, which may change
-    # between two scans, and both the counts and the records must see the same blocks.
-    rows = materialise(_csv_scan(spark, head, files, multi_line).select(
-        *[F.col(f"`{c}`") for c in head], CORRUPT, *_place(),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_order")))
-    # A scan task reads a block's records in a row, so their order numbers are consecutive and
-    # the place in the block is the distance to its first number: no record is shuffled.
-    blocks = rows.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_order").alias("_low"))
-    before = W.partitionBy("_path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = blocks.select("_path", "_block", (
-        F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_low")).alias("_shift"))
-    placed = (rows.join(broadcast_if_small(offsets, "256"), ["_path", "_block"])
-              .where(F.col(CORRUPT).isNull()))
-    where = F.concat(F.lit("Row "), (F.col("_order") + F.col("_shift")).cast("string"))
-    return _document(placed, row_text(head), F.lit("CSV"), where)
-
-
-def quarantined_csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
-    """Records that do not fit the header, with their file."""
-    rows = _csv_scan(spark, columns, [path], multi_line).where(F.col(CORRUPT).isNotNull())
-    # The parsed fields stay in the output, as the scan needs all of them to judge a record.
-    return rows.select(_plain("_metadata.file_name").alias("file_name"), F.col(CORRUPT).alias("record"),
-                       F.struct(*[F.col(f"`{c}`") for c in columns]).alias("parsed"))
+def _rejects(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "file_name string, record string, reason string")
 
 
 def json_records(rows: DataFrame, column: str = "value") -> DataFrame:
@@ -171,23 +140,64 @@ def json_records(rows: DataFrame, column: str = "value") -> DataFrame:
     return items.withColumn("record_no", F.col("record_no") + 1)
 
 
-def _json_files(spark, path):
-    return (_reader(spark, _any_case(".json")).text(path, wholetext=True)
-            .select("value", *_place()))
+def _json(spark: SparkSession, path: str) -> DataFrame:
+    """Elements of each file with their value as text; ``reason`` says what is wrong with one or its file."""
+    rows, kinds = json_elements(spark, _pieces(path, ".json", ","))
+    rows = rows.join(broadcast_if_small(kinds, "length(_path) + 64"), "_path")  # one row for each file
+    first, last = F.col("record_no") == 0, F.col("record_no") == F.col("elements") - 1
+    # Off come the file's own brackets, and the comma that closes every piece.
+    body = F.when(first, F.regexp_replace("record", r"^\uFEFF?\s*[\[{]", "")).otherwise(F.col("record"))
+    body = F.when(last, F.regexp_replace(body, r"\s*[\]}]\s*,?\s*$", "")).otherwise(body)
+    rows = rows.withColumn("body", F.trim(F.regexp_replace(body, r"^\s+|\s+$", "")))
+    whole = F.coalesce(F.col("opens").isin("[", "{"), F.lit(False)) & (F.col("depth") == 0) & (F.col("inside") == 0)
+    closes = F.when(F.col("opens") == "[", F.lit("]")).otherwise(F.lit("}"))
+    whole = whole & (~last | F.rtrim(F.regexp_replace("record", r"[\s,]+$", "")).endswith(closes))
+    items = F.from_json(F.concat(F.lit("["), F.col("body"), F.lit("]")), "array<string>")
+    members = F.map_values(F.from_json(F.concat(F.lit("{"), F.col("body"), F.lit("}")), "map<string,string>"))
+    rows = rows.withColumn("values", F.when(F.col("opens") == "[", items).otherwise(members))
+    blank = (F.col("body") == "") & (F.col("elements") == 1) & whole  # an empty array or object
+    reason = (F.when(~whole, "no JSON array or object").when(~F.col("decoded"), "not UTF-8")
+              .when((F.col("body") == "") | F.col("values").isNull() | (F.size("values") != 1), "no JSON value"))
+    return _named(rows.where(~blank).withColumn("reason", reason))
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """One document per array element."""
-    rows = json_records(_json_files(spark, path))
-    where = F.concat(F.lit("Record #"), F.col("record_no").cast("string"))
-    return _document(rows, F.col("record"), F.lit("JSON"), where)
+    """One document per element of a top-level array or value of a top-level object, numbered from 1.
+
+    A file is read by as many tasks as it has blocks, whether it has line breaks or not.
+    """
+    rows = _json(spark, path).where("reason IS NULL")
+    where = F.concat(F.lit("Record #"), (F.col("record_no") + 1).cast("string"))
+    return empty(spark).unionByName(_document(rows, F.get("values", F.lit(0)), F.lit("JSON"), where))
 
 
 def quarantined_json(spark: SparkSession, path: str) -> DataFrame:
-    """Files whose content is not a JSON array."""
-    rows = _json_files(spark, path)
-    return rows.where(F.from_json("value", "array<string>").isNull()).select(
-        F.col("_file").alias("file_name"), F.col("value").alias("record"))
+    """Files that are no array or object (their text up to the first border), and elements that cannot be read."""
+    rows = _json(spark, path).where("reason IS NOT NULL").where((F.col("reason") != "no JSON array or object") | (F.col("record_no") == 0))
+    return _rejects(spark).unionByName(rows.select(
+        F.col("_file").alias("file_name"), F.regexp_replace("record", ",$", "").alias("record"), "reason"))
+
+
+def quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """All that ``read_directory`` leaves out of known files: ``(file_name, record, reason)``.
+
+    Files that have bytes but gave no row, as they could not be opened or decompressed, have no
+    record. Unknown types are no rejects; a missing path gives an empty table.
+    """
+    if not path_exists(spark, path):
+        return _rejects(spark)
+    out = quarantined_csv(spark, path).unionByName(quarantined_json(spark, path))
+    for ext in (".txt", ".md"):
+        texts = _reader(spark, _any_case(ext)).text(path, wholetext=True).select("value", *_place())
+        out = out.unionByName(texts.where(~F.is_valid_utf8("value")).select(
+            F.col("_file").alias("file_name"), F.make_valid_utf8("value").alias("record"), F.lit("not UTF-8").alias("reason")))
+    seen = [_pieces(path, ext, "\n")(spark).select(_plain("_path").alias("_path")) for ext in READERS]
+    seen = reduce(DataFrame.unionByName, seen).distinct()
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0")
+    bare = lambda path: F.regexp_replace(path, "^file:/+", "file:/")
+    listed = listed.select(bare("path").alias("_path")).where(extension(F.col("_path")).isin(list(READERS)))
+    lost = listed.join(seen.select(bare("_path").alias("_path")), "_path", "left_anti").withColumn("_file", F.regexp_extract("_path", r"([^/]+)$", 1))
+    return out.unionByName(lost.select(F.col("_file").alias("file_name"), F.lit(None).cast("string").alias("record"), F.lit("unreadable").alias("reason")))
 
 
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {

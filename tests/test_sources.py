@@ -113,3 +113,72 @@ def test_character_references_of_the_standard(spark):
     df = spark.createDataFrame([(page,), (None,), ("",)], "html string")
     assert [r.t for r in df.select(T.html_text("html").alias("t")).collect()] == [
         "It\u2019s caf\u00e9 \u2014 5\u20ac &lt; a b", None, ""]
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files are cut into blocks of a few bytes."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    yield lambda n: [spark.conf.set(k, str(n)) for k in old]
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+TRICKY_CSV = ('id,text\n' + ''.join(f'{i},"line one of {i}\n\nsaid ""yes, {i}""\r\nend"\r\n' if i % 3 else f'{i}, plain {i} \n\n' for i in range(20))
+              + '777,"' + 'long\n' * 40 + '"\n')
+
+
+@pytest.mark.parametrize("size", [60, 1 << 20])
+def test_csv_blocks_of_any_size_give_the_same_records(spark, tmp_path, small_splits, size):
+    import csv
+    import io
+    (tmp_path / "a.csv").write_bytes(TRICKY_CSV.encode())
+    (tmp_path / "b.csv").write_bytes(b"x,x,\n1,2,3\n")
+    want = [r for r in csv.reader(io.StringIO(TRICKY_CSV, newline="")) if r][1:]
+    small_splits(size)
+    rows = files.read_csv(spark, str(tmp_path))
+    got = {(r.file_name, r.location): r.text for r in rows.collect()}
+    assert got == {**{("a.csv", f"Row {i}"): f"id: {a.strip(' ')}\ntext: {b.strip(' ')}" for i, (a, b) in enumerate(want)},
+                   ("b.csv", "Row 0"): "x: 1\nx1: 2\n_c2: 3"}
+    if size == 60:
+        assert spark.read.text(str(tmp_path / "a.csv")).rdd.getNumPartitions() > 10
+
+
+ELEMENTS = [{"k": i, "t": 'a, "b" \\\\ [x] {y}' + "," * (i % 5), "n": [[i], {"z": [1, 2]}]} if i % 4 else ("s,\\\"" * 3, 1.5, None, True, "é")[i % 5] for i in range(16)]
+
+
+@pytest.mark.parametrize("size", [60, 1 << 20])
+def test_json_blocks_of_any_size_give_the_same_elements(spark, tmp_path, small_splits, size):
+    (tmp_path / "flat.json").write_text(json.dumps(ELEMENTS))
+    (tmp_path / "pretty.json").write_text(json.dumps(ELEMENTS, indent=2) + "\n")
+    (tmp_path / "object.json").write_text("\ufeff" + json.dumps({f"k,{i}": v for i, v in enumerate(ELEMENTS)}, indent=1))
+    (tmp_path / "none.json").write_text(" [ ] \n")
+    small_splits(size)
+    got = {}
+    for r in files.read_json(spark, str(tmp_path)).collect():
+        got.setdefault(r.file_name, {})[int(r.location.removeprefix("Record #"))] = r.text
+    assert set(got) == {"flat.json", "pretty.json", "object.json"}
+    for texts in got.values():
+        values = [texts[i + 1] if isinstance(v, str) or texts[i + 1] is None else json.loads(texts[i + 1]) for i, v in enumerate(ELEMENTS)]
+        assert values == ELEMENTS and len(texts) == len(ELEMENTS)
+    assert files.quarantined_json(spark, str(tmp_path)).collect() == []
+
+
+def test_quarantine_lists_every_reject_with_a_reason(spark, tmp_path):
+    import gzip
+    (tmp_path / "ok.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "odd.csv").write_bytes(b'a,b\n1\n1,2,3\n\xff,2\n1,2\n1,"open\n')
+    (tmp_path / "cut.json").write_text('[{"a": 1}, {"b": ')
+    (tmp_path / "bare.json").write_text("17")
+    (tmp_path / "some.json").write_text('[1, nope, 3]')
+    (tmp_path / "latin 1%.txt").write_bytes("caf\u00e9".encode("latin-1"))
+    (tmp_path / "blank.txt").write_text("")
+    (tmp_path / "x.png").write_bytes(b"\x89")
+    got = sorted((r.file_name, r.reason, r.record) for r in files.quarantine(spark, str(tmp_path)).collect())
+    assert [(f, why) for f, why, _ in got] == [
+        ("bare.json", "no JSON array or object"), ("cut.json", "no JSON array or object"), ("latin 1%.txt", "not UTF-8"),
+        ("odd.csv", "does not fit the header"), ("odd.csv", "does not fit the header"), ("odd.csv", "not UTF-8"), ("odd.csv", "open quote"),
+        ("some.json", "no JSON value")]
+    assert gzip and sorted((r.file_name, r.text) for r in files.read_directory(spark, str(tmp_path)).collect() if r.file_name != "blank.txt") == [
+        ("odd.csv", "a: 1\nb: 2"), ("ok.csv", "a: 1\nb: 2"), ("some.json", "1"), ("some.json", "3")]
+    assert files.quarantine(spark, str(tmp_path / "absent")).collect() == []
