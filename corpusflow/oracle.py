@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from .functions.embed import DIM
-from .queries import BUDGET, CACHE_THRESHOLD, COMPRESS_THRESHOLD, FILTER_LABEL
+from .queries import BUDGET, CACHE_THRESHOLD, COMPRESS_THRESHOLD, DIRECTORY, FILTER_LABEL
 
 ORACLE: dict[str, str] = {}
 
@@ -451,6 +451,14 @@ SELECT 'n_nationkey: ' || n_nationkey || E'\\nn_name: ' || n_name || E'\\nn_regi
 ORACLE["json_records"] = """
 SELECT conv_id, turn // 100 AS page, row_number() OVER (PARTITION BY conv_id, turn // 100 ORDER BY turn) AS record_no,
        role, text FROM conversations"""
+ORACLE["json_files"] = """
+SELECT conv_id // 200 AS part, 'JSON' AS file_type,
+       'Record #' || row_number() OVER (PARTITION BY conv_id // 200 ORDER BY conv_id, turn) AS location, conv_id, turn, role, text
+FROM conversations"""
+ORACLE["ingest_directory"] = " UNION ALL ".join(
+    f"SELECT 'CSV' AS file_type, '{name}' AS folder, 0 AS chunk_no, "
+    + " || E'\\n' || ".join(f"'{c}: ' || trim({c}::VARCHAR)" for c in columns) + f" AS chunk FROM {name}"
+    for name, columns in DIRECTORY.items())
 ORACLE["page_location"] = """
 SELECT url AS file_name, 'PDF' AS file_type, 'Page ' || (page_id + 1) AS location, length(html)::INT AS n_chars FROM pages"""
 ORACLE["persist_reload_count"] = "SELECT label, count(*) AS n_vectors FROM embeddings GROUP BY label"

@@ -40,6 +40,7 @@ COMPRESS_THRESHOLD = 0.2
 FILTER_LABEL = 3
 BUDGET = 50
 LANGUAGE_FILES = {"en": ".md", "de": ".csv", "fr": ".json", "es": ".txt"}
+DIRECTORY = {"nation": ["n_nationkey", "n_name"], "customer": ["c_custkey", "c_name", "c_mktsegment"], "supplier": ["s_suppkey", "s_name"]}
 PROMPT = ("Answer the question briefly, from the context alone.\n\n"
           "Context:\n{context}\n\nQuestion: {question}")
 
@@ -403,6 +404,30 @@ def row_to_document(spark, sf):
     return files.read_csv(spark, root).select("text", "file_type", "location")
 
 
+@query
+def json_files(spark, sf):
+    """Turns as files that hold one JSON array each, read block by block."""
+    root = scratch_path(spark, "json")
+    turns = table(spark, sf, "conversations").withColumn("part", F.floor(F.col("conv_id") / 200).cast("bigint"))
+    arrays = turns.groupBy("part").agg(F.to_json(F.array_sort(F.collect_list(F.struct("conv_id", "turn", "role", "text")))).alias("value"))
+    arrays.repartition("part").write.partitionBy("part").text(root)
+    rows = files.read_json(spark, root, ".txt")
+    part = F.regexp_extract(F.col("metadata")["path"], r"part=(\d+)/", 1).cast("bigint")
+    field = lambda name: F.get_json_object("text", f"$.{name}")
+    return rows.select(part.alias("part"), "file_type", "location", field("conv_id").cast("bigint").alias("conv_id"),
+                       field("turn").cast("bigint").alias("turn"), field("role").alias("role"), field("text").alias("text"))
+
+
+@query
+def ingest_directory(spark, sf):
+    """A folder of CSV files with different headers, split into chunks with their provenance."""
+    root = scratch_path(spark, "directory")
+    for name, columns in DIRECTORY.items():
+        table(spark, sf, name).select(*columns).write.option("header", True).csv(f"{root}/{name}")
+    chunks = files.load_chunks(spark, root)
+    return chunks.select("file_type", F.regexp_extract(F.col("metadata")["path"], r"/(\w+)/[^/]+$", 1).alias("folder"), "chunk_no", "chunk")
+
+
 @query
 def json_records(spark, sf):
     """Turns as JSON arrays, a bounded run of turns each, then exploded to records."""

@@ -195,8 +195,8 @@ class _Scan:
     def __init__(self, inside: int, depth: int):
         self.inside, self.depth = inside, depth
 
-    def commas(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the commas outside strings, and the depth of each."""
+    def commas(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the commas outside strings, the depth of each, and the depths that brackets close to."""
         raw = np.frombuffer(data, np.uint8)
         quotes = np.flatnonzero(raw == QUOTE)
         escaped = quotes[(quotes > 0) & (raw[quotes - 1] == SLASH)]
@@ -209,7 +209,7 @@ class _Scan:
         step = np.isin(kind, np.frombuffer(b"[{", np.uint8)).astype(np.int64) - np.isin(kind, np.frombuffer(b"]}", np.uint8))
         depth = self.depth + np.cumsum(step)
         self.depth, self.inside = int(depth[-1]) if len(depth) else self.depth, (self.inside + len(quotes)) % 2
-        return marks[kind == COMMA], depth[kind == COMMA]
+        return marks[kind == COMMA], depth[kind == COMMA], depth[step < 0]
 
 
 def json_elements(spark: SparkSession, pieces: Reader) -> tuple[DataFrame, DataFrame]:
@@ -217,8 +217,9 @@ def json_elements(spark: SparkSession, pieces: Reader) -> tuple[DataFrame, DataF
 
     ``pieces(session)`` reads ``(value, _path, _block)``, comma by comma. The first table is
     ``(_path, record_no, record, decoded)``, numbered from 0, brackets at both ends of a file
-    still in place; the second ``(_path, opens, elements, depth, inside)``: first sign, number of
-    elements, and depth and string state at the end, which are zero for a whole file.
+    still in place; the second ``(_path, opens, elements, depth, inside, values)``: first sign, number of
+    elements, depth and string state at the end (zero for a whole file), and how many arrays or
+    objects end at the top (one, but for files of JSON lines).
     """
     rows = pieces(_pinned(spark)).select(F.col("value").cast("binary").alias("value"), "_path", "_block")
 
@@ -228,30 +229,31 @@ def json_elements(spark: SparkSession, pieces: Reader) -> tuple[DataFrame, DataF
             if not state["opens"]:
                 state["opens"] = data.lstrip(b"\xef\xbb\xbf \t\r\n")[:1]
             for k, scan in enumerate(state["scans"]):
-                found, n = np.unique(scan.commas(data)[1], return_counts=True)
-                for depth, m in zip(found.tolist(), n.tolist(), strict=True):
-                    state["commas"][k][depth] = state["commas"][k].get(depth, 0) + m
+                for held, depths in zip((state["commas"][k], state["closes"][k]), scan.commas(data)[1:], strict=True):
+                    for depth, m in zip(*(x.tolist() for x in np.unique(depths, return_counts=True)), strict=True):
+                        held[depth] = held.get(depth, 0) + m
             yield from ()
 
-        begin = lambda *_: {"opens": b"", "scans": (_Scan(0, 0), _Scan(1, 0)), "commas": ({}, {})}
+        begin = lambda *_: {"opens": b"", "scans": (_Scan(0, 0), _Scan(1, 0)), "commas": ({}, {}), "closes": ({}, {})}
         for (path, block), state in _by_block(batches, begin, add, lambda at, state: [(at, state)]):
             a, b = state["scans"]
-            counts = [pa.array([list(c.items())], pa.map_(pa.int64(), pa.int64())) for c in state["commas"]]
+            counts = [pa.array([list(c.items())], pa.map_(pa.int64(), pa.int64())) for c in (*state["commas"], *state["closes"])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([path]), pa.array([block], pa.int64()), pa.array([state["opens"].decode(errors="replace") or None], pa.string()),
                  *(pa.array([x], pa.int64()) for x in (a.inside, a.depth, b.depth)), *counts],
-                ["_path", "_block", "opens", "odd", "depth0", "depth1", "commas0", "commas1"])
+                ["_path", "_block", "opens", "odd", "depth0", "depth1", "commas0", "commas1", "closes0", "closes1"])
 
     blocks = rows.mapInArrow(summary, "_path string, _block bigint, opens string, odd bigint, depth0 bigint, depth1 bigint, "
-                                      "commas0 map<bigint,bigint>, commas1 map<bigint,bigint>")
+                                      "commas0 map<bigint,bigint>, commas1 map<bigint,bigint>, closes0 map<bigint,bigint>, closes1 map<bigint,bigint>")
     before = W.partitionBy("_path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     upto = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
     either = lambda c: F.when(F.col("inside") == 1, F.col(f"{c}1")).otherwise(F.col(f"{c}0"))
     blocks = blocks.withColumn("inside", upto("odd") % 2).withColumn("change", either("depth")).withColumn("entry", upto("change"))
-    blocks = blocks.withColumn("borders", F.coalesce(F.try_element_at(either("commas"), 1 - F.col("entry")), F.lit(0))).withColumn("first", upto("borders"))
+    at_depth = lambda counts, depth: F.coalesce(F.try_element_at(either(counts), depth - F.col("entry")), F.lit(0))
+    blocks = blocks.withColumn("borders", at_depth("commas", 1)).withColumn("ends", at_depth("closes", 0)).withColumn("first", upto("borders"))
     files = blocks.groupBy("_path").agg(
         F.min_by("opens", F.when(F.col("opens").isNotNull(), F.col("_block"))).alias("opens"), (F.sum("borders") + 1).alias("elements"),
-        F.sum("change").alias("depth"), (F.sum("odd") % 2).alias("inside"))
+        F.sum("change").alias("depth"), (F.sum("odd") % 2).alias("inside"), F.sum("ends").alias("values"))
 
     def cut(batches):
         def begin(batch, row):
@@ -260,7 +262,7 @@ def json_elements(spark: SparkSession, pieces: Reader) -> tuple[DataFrame, DataF
 
         def add(at, state, values):
             data, out, start = b",".join(values) + b",", [], 0
-            places, depth = state["scan"].commas(data)
+            places, depth, _ = state["scan"].commas(data)
             for place in places[depth == 1].tolist():
                 out.append(taken(at, state, [*state["held"], data[start:place]]))
                 state["held"], start = [], place + 1

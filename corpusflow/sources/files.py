@@ -140,16 +140,17 @@ def json_records(rows: DataFrame, column: str = "value") -> DataFrame:
     return items.withColumn("record_no", F.col("record_no") + 1)
 
 
-def _json(spark: SparkSession, path: str) -> DataFrame:
+def _json(spark: SparkSession, path: str, ext: str) -> DataFrame:
     """Elements of each file with their value as text; ``reason`` says what is wrong with one or its file."""
-    rows, kinds = json_elements(spark, _pieces(path, ".json", ","))
+    rows, kinds = json_elements(spark, _pieces(path, ext, ","))
+    kinds = kinds.withColumnRenamed("values", "n_values")
     rows = rows.join(broadcast_if_small(kinds, "length(_path) + 64"), "_path")  # one row for each file
     first, last = F.col("record_no") == 0, F.col("record_no") == F.col("elements") - 1
     # Off come the file's own brackets, and the comma that closes every piece.
     body = F.when(first, F.regexp_replace("record", r"^\uFEFF?\s*[\[{]", "")).otherwise(F.col("record"))
     body = F.when(last, F.regexp_replace(body, r"\s*[\]}]\s*,?\s*$", "")).otherwise(body)
     rows = rows.withColumn("body", F.trim(F.regexp_replace(body, r"^\s+|\s+$", "")))
-    whole = F.coalesce(F.col("opens").isin("[", "{"), F.lit(False)) & (F.col("depth") == 0) & (F.col("inside") == 0)
+    whole = F.coalesce(F.col("opens").isin("[", "{"), F.lit(False)) & (F.col("depth") == 0) & (F.col("inside") == 0) & (F.col("n_values") == 1)
     closes = F.when(F.col("opens") == "[", F.lit("]")).otherwise(F.lit("}"))
     whole = whole & (~last | F.rtrim(F.regexp_replace("record", r"[\s,]+$", "")).endswith(closes))
     items = F.from_json(F.concat(F.lit("["), F.col("body"), F.lit("]")), "array<string>")
@@ -161,19 +162,19 @@ def _json(spark: SparkSession, path: str) -> DataFrame:
     return _named(rows.where(~blank).withColumn("reason", reason))
 
 
-def read_json(spark: SparkSession, path: str) -> DataFrame:
+def read_json(spark: SparkSession, path: str, ext: str = ".json") -> DataFrame:
     """One document per element of a top-level array or value of a top-level object, numbered from 1.
 
     A file is read by as many tasks as it has blocks, whether it has line breaks or not.
     """
-    rows = _json(spark, path).where("reason IS NULL")
+    rows = _json(spark, path, ext).where("reason IS NULL")
     where = F.concat(F.lit("Record #"), (F.col("record_no") + 1).cast("string"))
     return empty(spark).unionByName(_document(rows, F.get("values", F.lit(0)), F.lit("JSON"), where))
 
 
-def quarantined_json(spark: SparkSession, path: str) -> DataFrame:
+def quarantined_json(spark: SparkSession, path: str, ext: str = ".json") -> DataFrame:
     """Files that are no array or object (their text up to the first border), and elements that cannot be read."""
-    rows = _json(spark, path).where("reason IS NOT NULL").where((F.col("reason") != "no JSON array or object") | (F.col("record_no") == 0))
+    rows = _json(spark, path, ext).where("reason IS NOT NULL").where((F.col("reason") != "no JSON array or object") | (F.col("record_no") == 0))
     return _rejects(spark).unionByName(rows.select(
         F.col("_file").alias("file_name"), F.regexp_replace("record", ",$", "").alias("record"), "reason"))
 

@@ -170,13 +170,14 @@ def test_quarantine_lists_every_reject_with_a_reason(spark, tmp_path):
     (tmp_path / "odd.csv").write_bytes(b'a,b\n1\n1,2,3\n\xff,2\n1,2\n1,"open\n')
     (tmp_path / "cut.json").write_text('[{"a": 1}, {"b": ')
     (tmp_path / "bare.json").write_text("17")
+    (tmp_path / "lines.json").write_text('{"a": 1, "b": 2}\n{"a": 3, "b": 4}\n')
     (tmp_path / "some.json").write_text('[1, nope, 3]')
     (tmp_path / "latin 1%.txt").write_bytes("caf\u00e9".encode("latin-1"))
     (tmp_path / "blank.txt").write_text("")
     (tmp_path / "x.png").write_bytes(b"\x89")
     got = sorted((r.file_name, r.reason, r.record) for r in files.quarantine(spark, str(tmp_path)).collect())
     assert [(f, why) for f, why, _ in got] == [
-        ("bare.json", "no JSON array or object"), ("cut.json", "no JSON array or object"), ("latin 1%.txt", "not UTF-8"),
+        ("bare.json", "no JSON array or object"), ("cut.json", "no JSON array or object"), ("latin 1%.txt", "not UTF-8"), ("lines.json", "no JSON array or object"),
         ("odd.csv", "does not fit the header"), ("odd.csv", "does not fit the header"), ("odd.csv", "not UTF-8"), ("odd.csv", "open quote"),
         ("some.json", "no JSON value")]
     assert gzip and sorted((r.file_name, r.text) for r in files.read_directory(spark, str(tmp_path)).collect() if r.file_name != "blank.txt") == [
