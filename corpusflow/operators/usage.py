@@ -96,13 +96,14 @@ def cache_and_route_counts(requests: DataFrame) -> DataFrame:
 def telemetry(requests: DataFrame, failed_model: str) -> DataFrame:
     """Request rows: ``request_id, started, stopped, failure`` and usage columns in.
 
-    A failed request keeps its latency and counts no tokens.
+    A failed request keeps its latency and counts no tokens. ``latency_ms`` is shown with two
+    digits; sums take ``latency_micros``.
     """
     failed = F.col("failure").isNotNull()
-    latency = (F.unix_micros("stopped") - F.unix_micros("started")) / F.lit(1000.0)
+    micros = F.unix_micros("stopped") - F.unix_micros("started")
     zero = F.lit(0).cast("bigint")
     rows = requests.select(
-        "request_id", F.col("started").alias("ts"), F.round(latency, 2).alias("latency_ms"),
+        "request_id", F.col("started").alias("ts"), F.round(micros / F.lit(1000.0), 2).alias("latency_ms"), micros.alias("latency_micros"),
         F.when(failed, zero).otherwise(F.col("prompt_tokens")).alias("prompt_tokens"),
         F.when(failed, zero).otherwise(F.col("completion_tokens")).alias("completion_tokens"),
         F.when(failed, F.lit(failed_model)).otherwise(F.col("model_name")).alias("model_name"),
@@ -115,11 +116,15 @@ def number_requests(rows: DataFrame) -> DataFrame:
     return number_rows(rows, [F.asc("ts"), F.asc("request_id")], name="request_no")
 
 
-def health_totals() -> list[Column]:
-    """Additive totals of telemetry rows; latency in hundredths of a ms keeps the sum exact."""
+def health_totals(rows: DataFrame) -> list[Column]:
+    """Additive totals of telemetry rows; a sum of whole microseconds is exact.
+
+    Rows from elsewhere may have ``latency_ms`` alone, which is then taken to the microsecond.
+    """
+    micros = F.col("latency_micros") if "latency_micros" in rows.columns else F.round(F.col("latency_ms") * 1000).cast("bigint")
     return [F.count(F.lit(1)).alias("requests"),
             F.count_if(F.col("status").startswith("FAILED")).alias("failures"),
-            F.coalesce(F.sum(F.round(F.col("latency_ms") * 100).cast("bigint")), F.lit(0)).alias("latency_sum"),
+            F.coalesce(F.sum(micros), F.lit(0)).alias("latency_sum"),
             F.coalesce(F.sum("total_tokens"), F.lit(0)).alias("tokens")]
 
 
@@ -129,13 +134,13 @@ def health_report(totals: DataFrame) -> DataFrame:
         F.col("requests").alias("total_requests_processed"),
         F.col("failures").alias("total_exceptions_raised"),
         F.format_string("%.2f%%", F.col("failures") / n * 100).alias("system_error_rate"),
-        F.round(F.col("latency_sum") / F.lit(100.0) / n, 2).alias("average_response_latency_ms"),
+        F.round(F.col("latency_sum") / F.lit(1000.0) / n, 2).alias("average_response_latency_ms"),
         F.col("tokens").alias("cumulative_tokens_consumed"),
         F.round(F.col("tokens") / n, 2).alias("average_tokens_per_payload"))
 
 
 def health(rows: DataFrame) -> DataFrame:
-    return health_report(rows.agg(*health_totals()))
+    return health_report(rows.agg(*health_totals(rows)))
 
 
 def log_lines(rows: DataFrame, base: dict[str, Column], payload: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from .functions.embed import DIM
-from .queries import BUDGET, CACHE_THRESHOLD, COMPRESS_THRESHOLD, DIRECTORY, FILTER_LABEL
+from .queries import BUDGET, CACHE_THRESHOLD, COMPRESS_THRESHOLD, DIRECTORY, FILTER_LABEL, QUERY_PROMPT
 
 ORACLE: dict[str, str] = {}
 
@@ -471,6 +471,8 @@ SELECT d.id, {DIM} AS dim, (count(*) FILTER (WHERE v <> 0))::INT AS n_nonzero, r
        round(coalesce(sum(v * (b + 1)), 0), 4) AS weighted, {_DIGEST_PARTS}
 FROM d LEFT JOIN f ON f.id = d.id GROUP BY d.id"""
 ORACLE["embed_documents"] = _DIGEST
+ORACLE["embed_query_prompt"] = _DIGEST.replace(
+    "SELECT doc_id AS id, text AS txt FROM documents", f"SELECT item_id AS id, '{QUERY_PROMPT}' || text AS txt FROM benchmark")
 ORACLE["embedding_cache_fill"] = _DIGEST
 ORACLE["embedding_cache_misses"] = """
 SELECT sha256(text) AS content_hash, length(text)::INT AS n_chars FROM (SELECT DISTINCT text FROM documents)
@@ -532,7 +534,7 @@ SELECT '{{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00","lo
 ORACLE["telemetry_summary"] = f"""WITH {_TEL}
 SELECT count(*) AS total_requests_processed, count(*) FILTER (WHERE status <> 'SUCCESS') AS total_exceptions_raised,
   printf('%.2f%%', count(*) FILTER (WHERE status <> 'SUCCESS') / greatest(count(*), 1)::DOUBLE * 100) AS system_error_rate,
-  round(sum(round(latency_ms * 100)::BIGINT) / 100.0::DOUBLE / greatest(count(*), 1), 2) AS average_response_latency_ms,
+  round(sum(round(latency_ms * 1000)::BIGINT) / 1000.0::DOUBLE / greatest(count(*), 1), 2) AS average_response_latency_ms,
   sum(total_tokens)::BIGINT AS cumulative_tokens_consumed,
   round(sum(total_tokens)::DOUBLE / greatest(count(*), 1), 2) AS average_tokens_per_payload FROM tel"""
 ORACLE["stream_telemetry"] = ORACLE["telemetry_summary"]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .functions import vector as V
-from .functions.embed import DIM, signature
+from .functions.embed import DIM, embed, signature
 from .operators import approximate as A
 from .operators import cache as C
 from .operators import chunking as K
@@ -40,6 +40,7 @@ COMPRESS_THRESHOLD = 0.2
 FILTER_LABEL = 3
 BUDGET = 50
 LANGUAGE_FILES = {"en": ".md", "de": ".csv", "fr": ".json", "es": ".txt"}
+QUERY_PROMPT = "search the corpus for: "
 DIRECTORY = {"nation": ["n_nationkey", "n_name"], "customer": ["c_custkey", "c_name", "c_mktsegment"], "supplier": ["s_suppkey", "s_name"]}
 PROMPT = ("Answer the question briefly, from the context alone.\n\n"
           "Context:\n{context}\n\nQuestion: {question}")
@@ -477,6 +478,13 @@ def embed_documents(spark, sf):
     return _vector_digest(stores.embed_table(documents(spark, sf)))
 
 
+@query
+def embed_query_prompt(spark, sf):
+    """Queries are embedded behind a prompt that documents do not have."""
+    rows = text_queries(spark, sf).select(F.col("query_id").alias("id"), embed("query", prompt=QUERY_PROMPT).alias("embedding"))
+    return _vector_digest(rows)
+
+
 @query
 def embedding_cache_misses(spark, sf):
     """Vectors of labelled documents are cached; the whole corpus asks for its vectors."""

@@ -80,7 +80,7 @@ def running_health(rows: DataFrame, root: str) -> DataFrame:
     def each_batch(totals: DataFrame, batch: int) -> None:
         _put(totals, root, "health", batch)
 
-    query = (rows.agg(*health_totals()).writeStream.outputMode("complete").foreachBatch(each_batch)
+    query = (rows.agg(*health_totals(rows)).writeStream.outputMode("complete").foreachBatch(each_batch)
              .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     query.awaitTermination()
     states = _all(rows.sparkSession, root, "health")

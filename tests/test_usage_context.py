@@ -27,6 +27,17 @@ def test_failures_count_latency_and_no_tokens(spark):
     assert row.average_response_latency_ms == 184.6 and row.average_tokens_per_payload == 88.0
 
 
+def test_the_mean_is_rounded_and_not_its_parts(spark):
+    started = "timestamp'2024-01-01 00:00:00'"
+    requests = spark.range(3).selectExpr(
+        "id AS request_id", f"{started} AS started", f"timestamp_micros(unix_micros({started}) + 1004) AS stopped", "CAST(NULL AS string) AS failure",
+        "1L AS prompt_tokens", "1L AS completion_tokens", "'m' AS model_name")
+    rows = G.telemetry(requests, "none")
+    assert {r.latency_ms for r in rows.collect()} == {1.0} and G.health(rows).first().average_response_latency_ms == 1.0
+    slower = G.telemetry(requests.withColumn("stopped", F.expr(f"timestamp_micros(unix_micros({started}) + IF(request_id = 0, 1008, 1004))")), "none")
+    assert G.health(slower).first().average_response_latency_ms == 1.01  # 1.00533; the mean of 1.01, 1.0, 1.0 is 1.00333
+
+
 def test_empty_table_divides_by_one(spark):
     row = G.health(telemetry(spark).limit(0)).first()
     assert tuple(row) == (0, 0, "0.00%", 0.0, 0, 0.0)
