@@ -82,6 +82,106 @@ def test_reparameterised_questions_and_slot_consistency(frame):
     assert decontaminate.leaks(frame(docs, SCHEMA), frame([], "item_id long, text string")).collect() == []
 
 
+def test_one_assignment_over_all_alignments(frame):
+    items = frame([(1, ITEM)], "item_id long, text string")
+    first, both = ITEM.replace("Anna", "Maria", 1), ITEM.replace("Anna", "Maria")
+    docs = [(1, ITEM.replace("and Anna", "and so then Julia").replace("Anna", "Maria")),       # two values, moved apart
+            (2, ITEM.replace("and Anna", "and Julia")),                                         # the second place alone
+            (3, both + " " + ITEM.replace("Anna", "Julia")),                                    # two whole variants
+            (4, both + " pad " * 50 + "the old market for 9 dollars and Julia gave 8 of them"),  # one stray line of another
+            (5, first.replace("Anna", "Julia"))]
+    got = {r.doc_id: r for r in decontaminate.leaks(frame(docs, SCHEMA), items).collect()}
+    assert set(got) == {2, 3, 4} and got[3].n_matched == got[4].n_matched == 16 and got[3].reparameterised  # one window takes the name as it stands
+    assert got[2].n_matched < got[2].n_windows and got[2].n_against == 0 and not got[2].reparameterised
+
+
+def test_items_mostly_of_numbers_match_with_their_own_values(frame):
+    items = frame([(1, "12.50 plus 35 equals 47.50"), (2, "4 kg 7 m 9 s weigh"), (3, "7 8")], "item_id long, text string")
+    docs = [(1, "so 12.50 plus 35 equals 47.50 then"), (2, "so 12.50 plus 36 equals 48.50 then"), (3, "so 12.50 plus 35 equals 47.75"),
+            (4, "it is 4 KG 7 m 9 s weigh 7 8")]
+    got = decontaminate.leaks(frame(docs, SCHEMA), items).collect()
+    assert {(r.doc_id, r.item_id, r.reparameterised) for r in got} == {(1, 1, False), (4, 2, False)}
+
+
+def template_readings(text):
+    """Words of a text with the kind of each, and the same with names as they stand; written out plainly."""
+    out, end = [], None
+    for m in re.finditer(r"[^\W_]+", text):
+        w, gap = m.group(), text[end:m.start()] if end is not None else "."
+        end = m.end()
+        if w.isascii() and w.isdigit():
+            if out and out[-1][1] == "n":
+                out[-1] = (out[-1][0] + "." + w, "n")
+                continue
+            out.append((w, "n"))
+        elif out and out[-1][1] == "n" and w.lower() in decontaminate.UNITS:
+            out.append((w.lower(), "u"))
+        else:
+            name = len(w) > 1 and w[0].lower() != w[0] and w[1].lower() == w[1] and not re.search(r'[.!?:;\n"]', gap)
+            out.append((w.lower(), "N" if name else ""))
+    return out
+
+
+def brute_windows(text, size=6, shorter=False):
+    """Set of ``(at, template, slots)``; a slot is a value and its place."""
+    w = template_readings(text or "")
+    if shorter and decontaminate.LEAST <= len(w) < size:
+        size = len(w)
+    out = set()
+    for at in range(len(w) - size + 1):
+        part = w[at:at + size]
+        heavy = 2 * sum(k in ("", "N") for _, k in part) < size
+        for names in (True, False):
+            kinds = ("n", "u", "N") if names else ("n", "u")
+            if names and 2 * sum(k == "" for _, k in part) < size or not names and (heavy or not any(k == "N" for _, k in part)):
+                continue
+            out.add((at, tuple(f"<{k}>" if k in kinds else x for x, k in part), tuple((x, at + i) for i, (x, k) in enumerate(part) if k in kinds)))
+        if heavy:
+            out.add((at, tuple(x for x, _ in part), ()))
+    return out
+
+
+def brute_leak(doc, item):
+    wanted, have = brute_windows(item, shorter=True), defaultdict(set)
+    for size in {len(t) for _, t, _ in wanted}:
+        for _, template, slots in brute_windows(doc, size):
+            have[template].add(tuple(v for v, _ in slots))
+    met = {(at, tuple((was, now, place) for (was, place), now in zip(slots, values)))
+           for at, template, slots in wanted for values in have[template]}
+    votes, every, windows_of = defaultdict(set), defaultdict(set), Counter()
+    for _, pairs in met:
+        for was, now, place in pairs:
+            votes[was, now].add(place)
+            every[was].add(place)
+            windows_of[was, now] += 1
+    bound = {}
+    for was in every:
+        now = max((n for w, n in votes if w == was), key=lambda n: (len(votes[was, n]), n == was, windows_of[was, n]))
+        bound[was] = now if now == was or 2 * len(votes[was, now]) > len(every[was]) else None
+    good = {at for at, pairs in met if all(bound[w] == n for w, n, _ in pairs)}
+    against = {at for at, pairs in met if any(bound[w] is None for w, _, _ in pairs)} - good
+    n = len({at for at, _, _ in wanted})
+    return (n, len(good), len(against)) if n and len(good) - len(against) >= 0.5 * n else None
+
+
+def test_template_leaks_match_brute_force(frame):
+    import random
+    rng = random.Random(3)
+    items = [(1, ITEM), (2, "If Peter walks 5 km in 2 hours then how far does Peter walk in 7 hours at 5 km an hour?"),
+             (3, "A train of 12 cars leaves Boston at 9 and meets Maria at 12 near Boston."), (4, "12 plus 7 plus 9 makes 28"), (5, "give the answer of Maria")]
+    docs = []
+    for i in range(150):
+        words = rng.choice(items)[1].split(" ")
+        for _ in range(rng.randrange(5)):
+            k = rng.randrange(len(words))
+            words[k] = rng.choice(["Julia", "Maria", "4", "12", "7", "km", "the"]) if rng.random() < 0.8 else words[k] + " then"
+        docs.append((i, "It said " + " ".join(words) + " " + " ".join(rng.choice(items)[1].split(" ")[:rng.randrange(9)])))
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.n_matched, r.n_against) for r in decontaminate.leaks(
+        frame(docs, SCHEMA), frame(items, "item_id long, text string")).collect()}
+    want = {(d, i): brute_leak(a, b) for d, a in docs for i, b in items}
+    assert got == {k: v for k, v in want.items() if v} and 60 < len(got) < 150
+
+
 def test_token_totals_match_brute_force(frame):
     tiktoken = pytest.importorskip("tiktoken")
     assert tiktoken
