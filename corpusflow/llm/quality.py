@@ -5,9 +5,12 @@ go; those that pass are compared with their like: for each language and source t
 covariance determinant gives a centre and a covariance that a minority of odd documents cannot
 pull away, and a document too far from the centre by its Mahalanobis distance goes too.
 
-The estimate starts from coordinate medians and deviations and takes concentration steps: fit
-to the ``SUBSET`` share of rows that are nearest, and again. Quantiles come from histograms
-and moments from sums, so a step is one combined aggregate, whatever a group's size.
+An estimate takes concentration steps from three fixed starts: fit to the ``SUBSET`` share of rows
+that are nearest, and again. The start with the least determinant goes on until the determinant
+falls no more. Every estimate is drawn towards that of its language by ``PRIOR_ROWS`` rows of
+weight (and a language's towards the medians and deviations of all rows), so groups of any size
+are judged by one rule. Quantiles come from histograms and moments from sums, so a step is a pair
+of combined aggregates, whatever a group's size.
 """
 
 from __future__ import annotations
@@ -23,10 +26,12 @@ from corpusflow.plans.sizing import broadcast_if_small
 from .common import let, stored, text_or_empty
 
 SUBSET = 0.75        # share of a group's rows that its estimate fits
-STEPS = 4            # concentration steps
-LEAST_ROWS = 60      # of a group; smaller ones are judged together with others of their language
 CHI_SUBSET = 6.6257  # quantile of the chi-squared distribution of five degrees at SUBSET
-CUTOFF = 35.0        # squared distance over which a document is an outlier
+CUTOFF = 35.888      # its quantile at 0.999999: squared distance over which a document is an outlier
+PRIOR_ROWS = 60      # rows that the estimate of the language weighs in that of a group
+STEPS = 2            # concentration steps of each start
+MORE_STEPS = 6       # at most, of the best start
+LEAST_FALL = 0.01    # of the logarithm of the determinant, for a further step
 # Transformed statistics, and the spread each is granted at least, so that a statistic that is
 # the same for nearly all documents of a group is no trap for the others.
 STATS = ("word_length", "symbols", "duplicates", "repeats", "capitals")
@@ -100,80 +105,132 @@ def _x(i: int) -> Column:
     return F.col(STATS[i])
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    """Centre and inverse Cholesky factor of the covariance of each group's rows."""
-    pairs = [(i, j) for i in DIM for j in DIM if j <= i]
-    sums = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *[F.sum(_x(i)).alias(f"s{i}") for i in DIM],
-                                 *[F.sum(_x(i) * _x(j)).alias(f"s{i}_{j}") for i, j in pairs])
-    out = sums.select("g", *[(F.col(f"s{i}") / F.col("n")).alias(f"c{i}") for i in DIM], *[
-        (F.greatest(F.col(f"s{i}_{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") / F.col("n"), F.lit(0.0))
-         + F.lit(FLOOR[i] ** 2) if i == j else
-         F.col(f"s{i}_{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") / F.col("n")).alias(f"v{i}_{j}") for i, j in pairs])
-    total = lambda terms: reduce(lambda a, b: a + b, terms, F.lit(0.0))
-    for i, j in pairs:  # Cholesky factor, row by row
-        rest = F.col(f"v{i}_{j}") - total([F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)])
+def _total(terms: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, terms, F.lit(0.0))
+
+
+PAIRS = [(i, j) for i in DIM for j in DIM if j <= i]
+
+
+def _model(moments: DataFrame, keys: list[str]) -> DataFrame:
+    """``moments(keys, c0.., e0_0..)`` with the inverse Cholesky factor ``w`` of the covariance and its log-determinant."""
+    spread = [F.col(f"e{i}_{j}") - F.col(f"c{i}") * F.col(f"c{j}") for i, j in PAIRS]
+    out = moments.select("*", *[(F.greatest(v, F.lit(0.0)) + F.lit(FLOOR[i] ** 2) if i == j else v).alias(f"v{i}_{j}")
+                                for v, (i, j) in zip(spread, PAIRS, strict=True)])
+    for i, j in PAIRS:  # Cholesky factor, row by row
+        rest = F.col(f"v{i}_{j}") - _total([F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)])
         out = out.withColumn(f"l{i}_{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}_{j}"))
-    for i, j in pairs:  # and its inverse
-        out = out.withColumn(f"w{i}_{j}", (F.lit(1.0) if i == j else -total(
+    for i, j in PAIRS:  # and its inverse
+        out = out.withColumn(f"w{i}_{j}", (F.lit(1.0) if i == j else -_total(
             [F.col(f"l{i}_{k}") * F.col(f"w{k}_{j}") for k in range(j, i)])) / F.col(f"l{i}_{i}"))
-    return stored(out.select("g", *[f"c{i}" for i in DIM], *[f"w{i}_{j}" for i, j in pairs]), "mcd")
+    return out.select(*moments.columns, *[f"w{i}_{j}" for i, j in PAIRS], _total([2 * F.log(f"l{i}_{i}") for i in DIM]).alias("log_det"))
+
+
+def _moments(rows: DataFrame, prior: DataFrame | None = None, keys: tuple[str, ...] = ("g",)) -> DataFrame:
+    """Model of each group's rows, with ``PRIOR_ROWS`` more that have the moments ``prior(g, c0.., e0_0..)``."""
+    sums = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.sum(_x(i)).alias(f"s{i}") for i in DIM],
+                                   *[F.sum(_x(i) * _x(j)).alias(f"s{i}_{j}") for i, j in PAIRS])
+    names = [(f"s{i}", f"c{i}") for i in DIM] + [(f"s{i}_{j}", f"e{i}_{j}") for i, j in PAIRS]
+    if prior is None:
+        means = [(F.col(a) / F.col("n")).alias(b) for a, b in names]
+    else:
+        sums = sums.join(broadcast_if_small(prior.select("g", *[F.col(b).alias(f"p_{b}") for _, b in names]), "200"), "g")
+        means = [((F.col(a) + PRIOR_ROWS * F.col(f"p_{b}")) / (F.col("n") + PRIOR_ROWS)).alias(b) for a, b in names]
+    return stored(_model(sums.select(*keys, *means), list(keys)), "mcd")
 
 
 def _distance() -> Column:
-    sides = [reduce(lambda a, b: a + b, [F.col(f"w{i}_{j}") * (_x(j) - F.col(f"c{j}")) for j in range(i + 1)]) for i in DIM]
-    return reduce(lambda a, b: a + b, [s * s for s in sides])
+    sides = [_total([F.col(f"w{i}_{j}") * (_x(j) - F.col(f"c{j}")) for j in range(i + 1)]) for i in DIM]
+    return _total([s * s for s in sides])
 
 
 def _scale(d: Column) -> Column:
     return F.log1p(d)
 
 
-def outlier_distances(rows: DataFrame) -> DataFrame:
-    """``(row columns, distance)`` of ``rows(g, *STATS, ...)`` to the estimate of their group ``g``."""
-    data = rows.select("g", *STATS)
+def _measured(data: DataFrame, model: DataFrame) -> DataFrame:
+    """``(g, start, STATS, d)``: squared distance of each row to every model of its group."""
+    return data.join(broadcast_if_small(model, "320"), "g").select("g", "start", *STATS, _distance().alias("d"))
+
+
+def _step(data: DataFrame, current: DataFrame, prior: DataFrame) -> DataFrame:
+    """Models of the ``SUBSET`` share of rows that are nearest to each current one."""
+    near = stored(_quantile(current, ["g", "start"], _scale(F.col("d")), SUBSET, "edge"), "edges")
+    chosen = current.join(broadcast_if_small(near), ["g", "start"]).where(_scale(F.col("d")) < F.col("edge"))
+    return _moments(chosen, prior, ("g", "start"))
+
+
+def _deviations(data: DataFrame) -> DataFrame:
+    """``(g, m, mad)``: median and median deviation of each coordinate."""
     medians = stored(_coordinates(data, _x), "medians")
     centred = data.join(broadcast_if_small(medians, "160"), "g")
-    spreads = stored(_coordinates(centred, lambda i: F.abs(_x(i) - F.col("m")[i])).withColumnRenamed("m", "mad"), "spreads")
-    start = centred.join(broadcast_if_small(spreads, "160"), "g")
+    spreads = _coordinates(centred, lambda i: F.abs(_x(i) - F.col("m")[i])).withColumnRenamed("m", "mad")
+    return stored(medians.join(spreads, "g"), "spreads")
+
+
+def estimates(data: DataFrame, prior: DataFrame) -> DataFrame:
+    """Model, ``log_det`` and consistency ``factor`` of each group ``g`` of ``data(g, *STATS)``.
+
+    ``prior`` holds for each group the model that it is drawn to. The starts are the sum and the
+    largest of the squared coordinate deviations, and the distance to the prior's model.
+    """
+    start = data.join(broadcast_if_small(_deviations(data), "200"), "g").join(broadcast_if_small(prior, "320"), "g")
     z = [(_x(i) - F.col("m")[i]) / (1.4826 * F.col("mad")[i] + F.lit(FLOOR[i])) for i in DIM]
-    current = start.select("g", *STATS, reduce(lambda a, b: a + b, [c * c for c in z]).alias("d"))
+    ways = F.array(_total([c * c for c in z]), F.greatest(*[c * c for c in z]), _distance())
+    current = start.select("g", *STATS, F.posexplode(ways).alias("start", "d"))
     for _ in range(STEPS):
-        near = _quantile(current, ["g"], _scale(F.col("d")), SUBSET, "edge")
-        chosen = current.join(broadcast_if_small(stored(near, "edges")), "g").where(_scale(F.col("d")) < F.col("edge"))
-        model = _moments(chosen.select("g", *STATS))
-        current = data.join(broadcast_if_small(model, "200"), "g").select("g", *STATS, _distance().alias("d"))
-    edge = stored(_quantile(current, ["g"], _scale(F.col("d")), SUBSET, "edge"), "edges")
-    model = model.join(edge, "g")
+        models = _step(data, current, prior)
+        current = _measured(data, models)
+    every = [c for c in models.columns if c != "g"]
+    best = stored(models.groupBy("g").agg(F.min(F.struct("log_det", *[c for c in every if c != "log_det"])).alias("m")).select(
+        "g", *[F.col(f"m.{c}").alias(c) for c in every]), "mcd")
+    for _ in range(MORE_STEPS):
+        new = _step(data, _measured(data, best), prior)
+        fell = new.select("g", F.struct(*every).alias("new")).join(best.select("g", F.struct(*every).alias("old")), "g").withColumn(
+            "fell", F.col("old.log_det") - F.col("new.log_det") > LEAST_FALL)
+        fell = stored(fell.select("g", "fell", F.when(F.col("fell"), F.col("new")).otherwise(F.col("old")).alias("m")), "mcd")
+        best = fell.select("g", *[F.col(f"m.{c}").alias(c) for c in every])
+        if fell.where("fell").isEmpty():
+            break
     # Consistency: at a normal distribution the subset's edge is the chi-squared quantile.
-    factor = F.greatest(F.expm1("edge") / CHI_SUBSET, F.lit(1.0))
-    return rows.join(broadcast_if_small(stored(model, "mcd"), "200"), "g").select(
-        *[F.col(f"`{c}`") for c in rows.columns], (_distance() / factor).alias("distance"))
+    last = _measured(data, best)
+    edge = _quantile(last, ["g"], _scale(F.col("d")), SUBSET, "edge").join(last.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "g")
+    edge = edge.join(prior.select("g", F.col("factor").alias("p_factor")), "g")
+    own = F.greatest(F.expm1("edge") / CHI_SUBSET, F.lit(1.0))
+    factor = (F.col("n") * own + PRIOR_ROWS * F.col("p_factor")) / (F.col("n") + PRIOR_ROWS)
+    return stored(best.drop("start").join(edge.select("g", factor.alias("factor")), "g"), "mcd")
+
+
+def outlier_distances(rows: DataFrame) -> DataFrame:
+    """``(row columns, distance)`` of ``rows(lang_key, g, *STATS, ...)`` to the estimate of their group ``g``."""
+    data = rows.select("lang_key", "g", *STATS)
+    whole = _deviations(data.select(F.lit(0).cast("long").alias("g"), *STATS))
+    normal = whole.select(F.col("g").alias("whole"), *[F.col("m")[i].alias(f"c{i}") for i in DIM], *[
+        (F.col("m")[i] * F.col("m")[j] + (F.pow(1.4826 * F.col("mad")[i], F.lit(2.0)) if i == j else F.lit(0.0))).alias(f"e{i}_{j}")
+        for i, j in PAIRS])
+    keys = stored(data.select("lang_key", "g", F.lit(0).cast("long").alias("whole")).distinct(), "groups")
+    languages = keys.select(F.col("lang_key").alias("g"), "whole").distinct()
+    prior = languages.join(broadcast_if_small(normal, "320"), "whole").drop("whole")
+    prior = stored(_model(prior, ["g"]).withColumn("factor", F.lit(1.0)), "prior")
+    by_language = estimates(data.select(F.col("lang_key").alias("g"), *STATS), prior)
+    prior = stored(keys.join(by_language.withColumnRenamed("g", "lang_key"), "lang_key").drop("lang_key", "whole"), "prior")
+    model = estimates(data.select("g", *STATS), prior)
+    return rows.join(broadcast_if_small(model, "320"), "g").select(
+        *[F.col(f"`{c}`") for c in rows.columns], (_distance() / F.col("factor")).alias("distance"))
 
 
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
            cutoff: float = CUTOFF) -> DataFrame:
     """Counts, ``base_failed``, ``distance`` and ``kept`` of every document.
 
-    Null and blank texts have no words and fail the base rules. Null languages and sources are
-    groups like others. Groups under ``LEAST_ROWS`` rows that pass are judged together with the
-    other small ones of their language, and kept as they are if those are too few as well.
+    Null and blank texts have no words and fail the base rules; ``distance`` is null for rows that
+    fail. Null languages and sources are groups like others, and so are groups of one row.
     Repeated rows are judged alike, ties of distance too; other columns are not read.
     """
-    rows = stored(counts(docs, doc_id, text, lang, source), "quality")
-    good = rows.where(~F.col("base_failed"))
-    sizes = stored(good.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")), "groups")
-    small = F.col("n") < LEAST_ROWS
-    groups = sizes.withColumns({
-        "pool": F.when(small, F.xxhash64("lang")).otherwise(F.xxhash64("lang", "source", F.lit(1)))})
-    groups = groups.withColumn("rows", F.sum("n").over(W.partitionBy("pool")))
-    groups = stored(groups.where(F.col("rows") >= LEAST_ROWS).select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.col("pool").alias("g")), "groups")
-    grouped = rows.join(broadcast_if_small(groups, "100"), F.col("lang").eqNullSafe(F.col("_lang"))
-                        & F.col("source").eqNullSafe(F.col("_source")), "left").drop("_lang", "_source")
-    grouped = stored(grouped, "grouped")
-    inside = F.col("g").isNotNull() & ~F.col("base_failed")
-    near = outlier_distances(grouped.where(inside))
-    rest = grouped.where(~inside).withColumn("distance", F.lit(None).cast("double"))
-    out = near.unionByName(rest)
-    kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
+    rows = stored(counts(docs, doc_id, text, lang, source).withColumns({
+        "lang_key": F.xxhash64("lang"), "g": F.xxhash64("lang", "source", F.lit(1))}), "quality")
+    near = outlier_distances(rows.where(~F.col("base_failed")))
+    out = near.unionByName(rows.where("base_failed").withColumn("distance", F.lit(None).cast("double")))
+    kept = ~F.col("base_failed") & (F.col("distance") <= cutoff)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      F.coalesce(kept, F.lit(False)).alias("kept"), "distance")

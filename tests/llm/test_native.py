@@ -89,6 +89,39 @@ def test_moments_invert_the_covariance(spark, documents):
     assert np.allclose([m[f"c{i}"] for i in quality.DIM], x.mean(axis=0)) and np.allclose(w.T @ w @ cov, np.eye(len(cov)), atol=1e-6)
 
 
+def test_small_groups_are_judged_by_their_language(frame):
+    import random
+    rng = random.Random(2)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(600)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n)).capitalize()
+    clean = [(i, text(rng.randrange(60, 300)), "en", f"s{i % 25}") for i in range(150)]          # six rows a group
+    clean += [(500 + i, text(100), None, None) for i in range(3)]                                 # a language of three
+    odd = [(1000 + i, re.sub(" ", " ### ", text(80)), "en", f"s{i}") for i in range(4)] + [(1100, text(80).upper(), "en", "alone")]
+    got = {r.doc_id: r for r in quality.judged(frame(clean + odd, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[i].kept for i, *_ in odd) and sum(got[i].kept for i, *_ in clean) >= 0.98 * len(clean)
+    assert all(r.distance is not None for r in got.values() if not r.base_failed)
+
+
+def test_the_determinant_falls_to_that_of_the_best_subset(spark):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, len(quality.STATS))) * [1, 2, 1, 3, 1]
+    x[:90] = rng.normal(size=(90, len(quality.STATS))) * 0.3 + 9                                  # a tight minority far away
+    data = spark.createDataFrame([(1, *map(float, r)) for r in x], "g long, " + ", ".join(f"{s} double" for s in quality.STATS))
+    means = {f"c{i}": 0.0 for i in quality.DIM} | {f"e{i}_{j}": float(i == j) for i, j in quality.PAIRS}
+    moments = spark.createDataFrame([(1, *means.values())], "g long, " + ", ".join(f"{k} double" for k in means))
+    prior = quality._model(moments, ["g"]).selectExpr("*", "1.0D AS factor")
+    model = quality.estimates(data, prior).first()
+    assert all(abs(model[f"c{i}"]) < 0.6 for i in quality.DIM)
+    current = quality._measured(data, quality._model(moments, ["g"]).selectExpr("*", "0 AS start"))
+    falls = []
+    for _ in range(4):
+        step = quality._step(data, current, prior)
+        falls.append(step.first().log_det)
+        current = quality._measured(data, step)
+    assert all(b <= a + 0.02 for a, b in zip(falls, falls[1:])) and model.log_det <= falls[-1] + 0.05
+
+
 def test_pipeline_stages_follow_their_operators(spark, documents):
     import corpus_pipeline as p
     from corpusflow.llm import decontaminate, simhash
