@@ -7,9 +7,8 @@ pull away, and a document too far from the centre by its Mahalanobis distance go
 
 An estimate takes concentration steps from three fixed starts: fit to the ``SUBSET`` share of rows
 that are nearest, and again. The start with the least determinant goes on until the determinant
-falls no more. Every estimate is drawn towards that of its language by ``PRIOR_ROWS`` rows of
-weight (and a language's towards the medians and deviations of all rows), so groups of any size
-are judged by one rule. Quantiles come from histograms and moments from sums, so a step is a pair
+falls no more. Every estimate is drawn towards the medians and deviations of its language by
+``PRIOR_ROWS`` rows of weight, so groups of any size are judged by one rule. Quantiles come from histograms and moments from sums, so a step is a pair
 of combined aggregates, whatever a group's size.
 """
 
@@ -28,10 +27,10 @@ from .common import let, stored, text_or_empty
 SUBSET = 0.75        # share of a group's rows that its estimate fits
 CHI_SUBSET = 6.6257  # quantile of the chi-squared distribution of five degrees at SUBSET
 CUTOFF = 35.888      # its quantile at 0.999999: squared distance over which a document is an outlier
-PRIOR_ROWS = 60      # rows that the estimate of the language weighs in that of a group
+PRIOR_ROWS = 60      # rows that the normal distribution of the language weighs in a group
 STEPS = 2            # concentration steps of each start
-MORE_STEPS = 6       # at most, of the best start
-LEAST_FALL = 0.01    # of the logarithm of the determinant, for a further step
+MORE_STEPS = 3       # at most, of the best start
+LEAST_FALL = 0.05    # of the logarithm of the determinant, for a further step
 # Transformed statistics, and the spread each is granted at least, so that a statistic that is
 # the same for nearly all documents of a group is no trap for the others.
 STATS = ("word_length", "symbols", "duplicates", "repeats", "capitals")
@@ -204,16 +203,12 @@ def estimates(data: DataFrame, prior: DataFrame) -> DataFrame:
 def outlier_distances(rows: DataFrame) -> DataFrame:
     """``(row columns, distance)`` of ``rows(lang_key, g, *STATS, ...)`` to the estimate of their group ``g``."""
     data = rows.select("lang_key", "g", *STATS)
-    whole = _deviations(data.select(F.lit(0).cast("long").alias("g"), *STATS))
-    normal = whole.select(F.col("g").alias("whole"), *[F.col("m")[i].alias(f"c{i}") for i in DIM], *[
+    told = _deviations(data.select(F.col("lang_key").alias("g"), *STATS)).withColumnRenamed("g", "lang_key")
+    groups = data.select("lang_key", "g").distinct().join(broadcast_if_small(told, "200"), "lang_key")
+    normal = groups.select("g", *[F.col("m")[i].alias(f"c{i}") for i in DIM], *[
         (F.col("m")[i] * F.col("m")[j] + (F.pow(1.4826 * F.col("mad")[i], F.lit(2.0)) if i == j else F.lit(0.0))).alias(f"e{i}_{j}")
         for i, j in PAIRS])
-    keys = stored(data.select("lang_key", "g", F.lit(0).cast("long").alias("whole")).distinct(), "groups")
-    languages = keys.select(F.col("lang_key").alias("g"), "whole").distinct()
-    prior = languages.join(broadcast_if_small(normal, "320"), "whole").drop("whole")
-    prior = stored(_model(prior, ["g"]).withColumn("factor", F.lit(1.0)), "prior")
-    by_language = estimates(data.select(F.col("lang_key").alias("g"), *STATS), prior)
-    prior = stored(keys.join(by_language.withColumnRenamed("g", "lang_key"), "lang_key").drop("lang_key", "whole"), "prior")
+    prior = stored(_model(normal, ["g"]).withColumn("factor", F.lit(1.0)), "prior")
     model = estimates(data.select("g", *STATS), prior)
     return rows.join(broadcast_if_small(model, "320"), "g").select(
         *[F.col(f"`{c}`") for c in rows.columns], (_distance() / F.col("factor")).alias("distance"))
