@@ -280,6 +280,13 @@ SELECT conv_id, turn, text AS answer, 0 AS source_no, 'conv-' || conv_id || '.js
 UNION ALL
 SELECT conv_id, turn, text, 1, 'manual.md', 'Markdown', 'Full Document' FROM conversations WHERE role = 'assistant'"""
 
+ORACLE["parse_graded_answers"] = """
+SELECT conv_id, turn, CASE WHEN ok THEN text END AS answer,
+       CASE WHEN ok THEN CASE WHEN length(text) >= 200 THEN 'high' WHEN length(text) >= 80 THEN 'medium' ELSE 'low' END END AS confidence,
+       CASE WHEN ok THEN array_to_string(list_transform(range(turn % 3 + 1), lambda i: 'part-' || i), ',') END AS sources_used,
+       CASE WHEN ok AND turn % 2 = 1 THEN 'What follows turn ' || turn || '?' END AS follow_up
+FROM (SELECT *, conv_id % 7 <> 3 AS ok FROM conversations WHERE role = 'assistant')"""
+
 # --- chunking --------------------------------------------------------------------------------
 
 

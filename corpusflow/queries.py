@@ -323,6 +323,22 @@ def parse_answers(spark, sf):
         "conv_id", "turn", "answer", "source_no", "s.file_name", "s.file_type", "s.location")
 
 
+@query
+def parse_graded_answers(spark, sf):
+    """Stored graded answers, one per assistant turn; those that broke off on the way decode to nulls."""
+    turns = table(spark, sf, "conversations").where(F.col("role") == "assistant")
+    size = F.char_length("text")
+    sent = F.to_json(F.struct(
+        F.col("text").alias("answer"), F.when(size >= 200, "high").when(size >= 80, "medium").otherwise("low").alias("confidence"),
+        F.transform(F.sequence(F.lit(0), F.col("turn") % 3), lambda i: F.concat(F.lit("part-"), i.cast("string"))).alias("sources_used"),
+        F.when(F.col("turn") % 2 == 1, F.concat(F.lit("What follows turn "), F.col("turn").cast("string"), F.lit("?"))).alias("follow_up")))
+    broke = F.col("conv_id") % 7 == 3
+    stored = turns.select("conv_id", "turn", F.when(broke, F.substring(sent, F.lit(1), F.char_length(sent) - 1)).otherwise(sent).alias("response"))
+    parsed = X.parse_answers(stored, schema=X.GRADED_ANSWER)
+    return parsed.select("conv_id", "turn", "parsed.answer", "parsed.confidence", F.array_join("parsed.sources_used", ",").alias("sources_used"),
+                         "parsed.follow_up")
+
+
 # --- chunking --------------------------------------------------------------------------------
 
 def _corpus(spark, sf):
