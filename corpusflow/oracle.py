@@ -290,7 +290,10 @@ FROM (SELECT *, conv_id % 7 <> 3 AS ok FROM conversations WHERE role = 'assistan
 # --- chunking --------------------------------------------------------------------------------
 
 
-def _recursive(name: str, source: str, size: int, overlap: int) -> str:
+_PLAIN = ("chr(10) || chr(10)", "chr(10)", "' '")
+
+
+def _recursive(name: str, source: str, size: int, overlap: int, marks: tuple[str, ...] = _PLAIN) -> str:
     """CTEs that end in ``name`` (id, chunk_no, chunk), from ``source`` rows (id, txt).
 
     Stated by character offsets. Each separator in turn cuts the texts that are still too long;
@@ -298,7 +301,7 @@ def _recursive(name: str, source: str, size: int, overlap: int) -> str:
     start has one end and one next start, and the chunks are those reached from the first piece.
     """
     n, out, runs = name, [f"{name}_0 AS (SELECT id, 0 AS b, txt FROM {source})"], []
-    for level, mark in enumerate(("chr(10) || chr(10)", "chr(10)", "' '")):
+    for level, mark in enumerate(marks):
         here, after = f"{n}_{level}", f"{n}_{level + 1}"
         out.append(f"""
 {here}p AS (SELECT id, b AS node, txt, string_split(txt, {mark}) AS parts FROM {here} WHERE contains(txt, {mark})),
@@ -314,7 +317,7 @@ def _recursive(name: str, source: str, size: int, overlap: int) -> str:
     out.append(f"""
 {n}_win AS (SELECT id, b + w AS b, b + least(w + {size}, length(txt)) AS e
             FROM (SELECT id, b, txt, unnest(range(0, greatest(length(txt) - {overlap}, 1), {size - overlap})) AS w
-                  FROM {n}_3 WHERE txt <> '')),
+                  FROM {n}_{len(marks)} WHERE txt <> '')),
 {n}_leaf AS (SELECT *, row_number() OVER (PARTITION BY id, level, node, run ORDER BY b) AS i,
                     lead(e) OVER (PARTITION BY id, level, node, run ORDER BY b) AS next_e FROM ({' UNION ALL '.join(runs)})),
 {n}_end AS (SELECT x.id, x.level, x.node, x.run, x.i, x.b, y.e, y.next_e,
@@ -339,6 +342,11 @@ def _recursive(name: str, source: str, size: int, overlap: int) -> str:
 _DOCS = "docs AS (SELECT doc_id AS id, text AS txt FROM documents)"
 ORACLE["recursive_chunk"] = f"""WITH RECURSIVE {_DOCS}, {_recursive('rc', 'docs', 300, 30)}
 SELECT id AS doc_id, lang, chunk_no, chunk, length(chunk)::INT AS n_chars FROM rc JOIN documents ON doc_id = id"""
+_CODE = """code AS (SELECT doc_id AS id, 'class ' || lang || ':' || chr(10) || replace(replace(replace(text, '. ', '.' || chr(10) || 'def '),
+              ', ', chr(10) || chr(9) || 'def '), '? ', chr(10) || 'class ') AS txt FROM documents)"""
+_PYTHON = ("chr(10) || 'class '", "chr(10) || 'def '", "chr(10) || chr(9) || 'def '", *_PLAIN)
+ORACLE["code_chunk"] = f"""WITH RECURSIVE {_CODE}, {_recursive('cc', 'code', 200, 0, _PYTHON)}
+SELECT id AS doc_id, lang, chunk_no, chunk, length(chunk)::INT AS n_chars FROM cc JOIN documents ON doc_id = id"""
 ORACLE["chunk_overlap"] = f"""
 WITH RECURSIVE {_DOCS}, {_recursive('a', 'docs', 70, 0)}, {_recursive('z', 'docs', 70, 25)},
 both_ AS (SELECT 0 AS overlap, id, chunk FROM a UNION ALL SELECT 25, id, chunk FROM z)

@@ -351,6 +351,14 @@ def recursive_chunk(spark, sf):
     return K.explode_chunks(docs, K.recursive(F.col("text"), 300, 30), drop=["text"])
 
 
+@query
+def code_chunk(spark, sf):
+    """Texts laid out as classes and functions, cut by the separators of code."""
+    laid = F.replace(F.replace(F.replace("text", F.lit(". "), F.lit(".\ndef ")), F.lit(", "), F.lit("\n\tdef ")), F.lit("? "), F.lit("\nclass "))
+    docs = _corpus(spark, sf).withColumn("text", F.concat(F.lit("class "), "lang", F.lit(":\n"), laid))
+    return K.explode_chunks(docs, K.recursive(F.col("text"), 200, 0, K.PYTHON), drop=["text"])
+
+
 @query
 def chunk_overlap(spark, sf):
     """Chunk counts and characters without and with overlap, per language."""
