@@ -72,6 +72,16 @@ def test_stream_in_two_batches_equals_one_by_one(spark, tmp_path):
     assert got(done) == sequential(rows, T)
 
 
+def test_stream_of_a_table_stored_as_one_file_or_as_a_folder(spark, tmp_path):
+    rows = requests(n=60)
+    table(spark, rows).repartition(3).write.parquet(str(tmp_path / "many" / "embeddings.parquet"))
+    table(spark, rows).coalesce(1).write.parquet(str(tmp_path / "one" / "out"))
+    next((tmp_path / "one" / "out").glob("part-*")).rename(tmp_path / "one" / "embeddings.parquet")
+    for folder in ("many", "one"):
+        source = jobs.file_stream(spark, str(tmp_path / folder), "embeddings.parquet")
+        assert got(jobs.replay_cache(source, str(tmp_path / f"{folder}-out"), T)) == sequential(rows, T)
+
+
 def test_lookup_is_null_below_the_threshold_and_inclusive(spark):
     entries = spark.createDataFrame([(1, [1.0, 0.0])], "id bigint, embedding array<float>")
     asked = spark.createDataFrame([(7, [1.0, 0.0]), (8, [0.6, 0.8]), (9, [0.0, 1.0])],
