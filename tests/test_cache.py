@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from corpusflow.operators import cache as C
+from corpusflow.operators import sparse as S
 from corpusflow.sources import stores
 from corpusflow.streaming import jobs
 
@@ -82,6 +83,16 @@ def test_stream_of_a_table_stored_as_one_file_or_as_a_folder(spark, tmp_path):
         assert got(jobs.replay_cache(source, str(tmp_path / f"{folder}-out"), T)) == sequential(rows, T)
 
 
+def test_ingest_of_a_table_stored_as_a_folder(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "one red fox"), (2, "two foxes"), (3, "a red red hen"), (4, None)], "doc_id bigint, text string")
+    docs.repartition(2).write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    root = str(tmp_path / "out")
+    jobs.ingest(jobs.file_stream(spark, str(tmp_path / "in"), "documents.parquet"), root)
+    queries = spark.createDataFrame([(1, "red hen"), (2, "two")], "query_id bigint, query string")
+    found = jobs.ingested_search(spark, root, queries, 2)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, S.bm25(queries, docs, 2).collect()))
+
+
 def test_lookup_is_null_below_the_threshold_and_inclusive(spark):
     entries = spark.createDataFrame([(1, [1.0, 0.0])], "id bigint, embedding array<float>")
     asked = spark.createDataFrame([(7, [1.0, 0.0]), (8, [0.6, 0.8]), (9, [0.0, 1.0])],
