@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.plans.sizing import scratch_path
+from corpusflow.plans.sizing import in_groups, scratch_path  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,15 +79,3 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
-
-
-def in_groups(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
-    """Consecutive index ranges whose sizes add up to about ``limit`` at most, or hold one item."""
-    start, total = 0, 0
-    for i, size in enumerate(sizes):
-        if i > start and total + size > limit:
-            yield start, i
-            start, total = i, 0
-        total += size
-    if start < len(sizes):
-        yield start, len(sizes)

@@ -19,26 +19,34 @@ those it replaces, from the stored postings alone.
 from __future__ import annotations
 
 from functools import reduce
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.embed import DIM, list_parts, signature
-from ..functions.text import text_key
+from ..functions.embed import DIM, list_parts
+from ..functions.text import text_key, tokens
 from ..plans.blockjoin import SCHEMA, TILE_CELLS, BestRows, Scoring
 from ..plans.ranking import top_k
-from ..plans.sizing import fits_broadcast, stored
+from ..plans.sizing import fits_broadcast, in_groups, stored
 from ..sources.manifest import active, set_mark
-from .sparse import B, K1, MAX_QUERIES_SENT, MAX_QUERY_CHARS_SENT, _idf, _saturation, index_documents, query_terms
+from .sparse import B, K1, MAX_QUERIES_SENT, MAX_QUERY_CHARS_SENT, _idf, _saturation, query_terms
 
 SEGMENT = 1024  # documents
+TASK = 16       # segments that one task packs
 BUCKETS = 64
 LIGHT = ["bucket", "term", "segment", "n", "max_tf", "min_len", "good_tf", "good_len"]
 BLOCK = ("term string, segment bigint, n int, max_tf int, min_len int, good_tf int, good_len int, "
          "ids array<bigint>, tfs array<int>, lens array<int>")
 DOCS = "id bigint, text_key string, codes array<int>, n_terms int"
+BOTH = f"{DOCS}, {BLOCK}"
+_INT, _LONG = pa.int32(), pa.int64()
+BOTH_ARROW = pa.schema([
+    ("id", _LONG), ("text_key", pa.string()), ("codes", pa.list_(_INT)), ("n_terms", _INT), ("term", pa.string()), ("segment", _LONG),
+    *[(c, _INT) for c in ("n", "max_tf", "min_len", "good_tf", "good_len")], ("ids", pa.list_(_LONG)), ("tfs", pa.list_(_INT)), ("lens", pa.list_(_INT))])
+TOKENS = 1 << 19  # handled at once in a task
 
 
 def bucket_of(term: str, buckets: int):
@@ -63,16 +71,73 @@ def _packed(segment: int, terms: pa.Array, code: np.ndarray, id: np.ndarray, tf:
         [c.split()[0] for c in BLOCK.split(", ")])
 
 
-def _from_tokens(rows: pa.Table) -> pa.Table:
-    """Blocks of one segment from ``(segment, id, terms)``."""
-    column = rows.column("terms").combine_chunks()
-    size = np.asarray(column.value_lengths().fill_null(0))
-    tokens = column.flatten().dictionary_encode()
-    width = max(len(tokens.dictionary), 1)
-    owner = np.repeat(np.arange(len(size)), size)
-    pair, tf = np.unique(owner * width + np.asarray(tokens.indices).astype(np.int64), return_counts=True)
+def _signed(terms: pa.Array, dim: int) -> np.ndarray:
+    """The number that ``signature`` gives each term."""
+    digests = b"".join(md5(t).digest()[:4] for t in terms.cast(pa.binary()).to_pylist())
+    head = np.frombuffer(digests, ">u4").astype(np.int64)
+    return ((head >> 4) % dim + 1) * np.where(head & 15 < 8, 1, -1)
+
+
+def _doc_rows(batch: pa.RecordBatch, terms: pa.DictionaryArray, size: np.ndarray, dim: int) -> pa.RecordBatch:
+    """Rows of ``DOCS`` from ``(segment, id, text_key, terms)``."""
+    signs = _signed(terms.dictionary, dim).astype(np.int32)
+    ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+    missing = batch.column("terms").is_null()
+    codes = pa.ListArray.from_arrays(ends, pa.array(signs[np.asarray(terms.indices)]), mask=missing)
+    columns = [batch.column("id"), batch.column("text_key"), codes, pa.array(size.astype(np.int32))]
+    return _filled(columns, [c.split()[0] for c in DOCS.split(", ")], batch.num_rows)
+
+
+def _filled(columns: list[pa.Array], names: list[str], rows: int) -> pa.RecordBatch:
+    """A batch of ``BOTH`` in which the columns that are not given are null."""
+    given = dict(zip(names, columns, strict=True))
+    return pa.RecordBatch.from_arrays([given[f.name] if f.name in given else pa.nulls(rows, f.type) for f in BOTH_ARROW], schema=BOTH_ARROW)
+
+
+def _from_tokens(segment: int, ids: list[np.ndarray], parts: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> pa.Table:
+    """Blocks of one segment; each part has its terms, the place of each token in them and the documents' sizes."""
+    terms = pa.concat_arrays([p[0] for p in parts]).dictionary_encode()
+    base = np.cumsum([0, *[len(p[0]) for p in parts]])
+    place = np.concatenate([np.asarray(terms.indices)[b + p[1]] for b, p in zip(base, parts)]).astype(np.int64)
+    id, size = np.concatenate(ids), np.concatenate([p[2] for p in parts])
+    width = max(len(terms.dictionary), 1)
+    pair, tf = np.unique(np.repeat(np.arange(len(size)), size) * width + place, return_counts=True)
     doc = pair // width
-    return _packed(rows.column("segment")[0].as_py(), tokens.dictionary, pair % width, rows.column("id").to_numpy()[doc], tf, size[doc])
+    return _packed(segment, terms.dictionary, pair % width, id[doc], tf, size[doc])
+
+
+def _indexer(dim: int):
+    """Arrow function over rows ``(segment, id, text_key, terms)`` in order of their segments: documents and blocks."""
+    def task(batches):
+        held, ids, parts = None, [], []
+
+        def packed():
+            rows = _from_tokens(held, ids, parts)
+            return [_filled(b.columns, b.schema.names, b.num_rows) for b in rows.combine_chunks().to_batches()]
+
+        for batch in batches:
+            # A long text weighs as much as many short ones, so tokens bound what is handled at once.
+            lengths = batch.column("terms").value_lengths().fill_null(0).to_pylist()
+            for a, b in in_groups(lengths, TOKENS):
+                part = batch.slice(a, b - a)
+                size = np.array(lengths[a:b], np.int64)
+                terms = part.column("terms").flatten().dictionary_encode()
+                yield _doc_rows(part, terms, size, dim)
+                segment, at = part.column("segment").to_numpy(), np.concatenate([[0], np.cumsum(size)])
+                cuts = np.flatnonzero(np.diff(segment, prepend=segment[0] - 1))
+                for lo, hi in zip(cuts, [*cuts[1:], len(segment)]):
+                    if held is not None and segment[lo] != held:
+                        yield from packed()
+                        ids, parts = [], []
+                    held = int(segment[lo])
+                    mine = np.asarray(terms.indices)[at[lo]:at[hi]]
+                    used, place = np.unique(mine, return_inverse=True)
+                    ids.append(part.column("id").to_numpy(zero_copy_only=False)[lo:hi])
+                    parts.append((terms.dictionary.take(pa.array(used)), place, size[lo:hi]))
+        if held is not None:
+            yield from packed()
+
+    return task
 
 
 def _from_postings(rows: pa.Table) -> pa.Table:
@@ -103,30 +168,54 @@ class TextIndex:
     def append(self, name: str, docs: DataFrame, id: str = "doc_id", text: str = "text", dim: int = DIM) -> bool:
         """Add a batch of new documents; tells whether the batch was new. A null text has no terms.
 
-        The terms of a segment's documents come together in one task, which packs its blocks.
+        The documents of a segment come together in one task, which cuts each text once and packs the blocks.
         """
         folder = f"{self.folder}/batch={name}"
         if folder in self.batches():
             return False
-        rows = index_documents(docs, id, text).select(F.col("id").cast("bigint").alias("id"), "terms")
-        blocks = rows.withColumn("segment", self._segments(docs.count())).groupBy("segment").applyInArrow(_from_tokens, BLOCK)
-        keyed = docs.select(F.col(id).cast("bigint").alias("id"), text_key(text).alias("text_key"), signature(text, dim).alias("codes"))
-        self._write(folder, keyed.withColumn("n_terms", F.coalesce(F.size("codes"), F.lit(0))), blocks)
+        n = docs.count()
+        # Texts are dealt by segment before they are cut into terms, which are several times as large.
+        tasks = max(self.spark.sparkContext.defaultParallelism, -(-n // (TASK * self.segment)))
+        dealt = (docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text")).withColumn("segment", self._segments(n))
+                 .repartition(tasks, "segment").sortWithinPartitions("segment"))
+        rows = dealt.select("segment", "id", text_key("text").alias("text_key"), tokens("text").alias("terms"))
+        both = stored(rows.mapInArrow(_indexer(dim), BOTH), "documents-and-blocks")
+        names = lambda schema: [c.split()[0] for c in schema.split(", ")]
+        self._write(folder, both.where("term IS NULL").select(*names(DOCS)), both.where("term IS NOT NULL").select(*names(BLOCK)))
         set_mark(self.spark, folder)
         return True
 
     def compact(self, name: str) -> bool:
-        """Merge all batches into one, from their postings; tells whether there was anything to merge."""
+        """Merge all batches into one, from their postings; tells whether there was anything to merge.
+
+        Blocks are moved as they are; only those of batches below half a segment are packed anew.
+        """
         old = self.batches()
         if len(old) < 2:
             return False
-        docs = self.docs()
-        each = F.explode(F.arrays_zip("ids", "tfs", "lens")).alias("p")
-        rows = self.postings().select("term", each).select(
-            "term", F.col("p.ids").alias("id"), F.col("p.tfs").alias("tf"), F.col("p.lens").alias("length"))
-        blocks = rows.withColumn("segment", self._segments(docs.count())).groupBy("segment").applyInArrow(_from_postings, BLOCK)
+        docs = stored(self.docs().groupBy("batch_no").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        sizes = dict(docs.collect())
+        # Segments of their usual size only get new numbers. Batches too small for one are put together.
+        first, joined, at, room = {}, [], 0, 0
+        for n in range(len(old)):
+            size = sizes.get(n, 0)
+            if size >= self.segment // 2:
+                first[n], at = at, at + -(-size // self.segment)
+                continue
+            if size > room:
+                joined_at, at, room = at, at + 1, self.segment
+            first[n], room = joined_at if size else 0, room - size
+            joined.append(n)
+        shift = F.element_at(F.create_map(*[F.lit(x).cast("bigint") for pair in first.items() for x in pair]), F.col("batch_no").cast("bigint"))
+        rows = self._read("postings", f"{BLOCK}, bucket int").withColumn("segment", F.col("segment") + shift)
+        blocks = rows.where(~F.col("batch_no").isin(joined)).select(*[c.split()[0] for c in BLOCK.split(", ")])
+        if joined:
+            each = F.explode(F.arrays_zip("ids", "tfs", "lens")).alias("p")
+            few = rows.where(F.col("batch_no").isin(joined)).select("segment", "term", each).select(
+                "segment", "term", F.col("p.ids").alias("id"), F.col("p.tfs").alias("tf"), F.col("p.lens").alias("length"))
+            blocks = blocks.unionByName(few.groupBy("segment").applyInArrow(_from_postings, BLOCK))
         folder = f"{self.folder}/batch={name}"
-        self._write(folder, docs.drop("batch_no"), blocks)
+        self._write(folder, self.docs().drop("batch_no"), blocks)
         set_mark(self.spark, folder, replaces=old)
         return True
 

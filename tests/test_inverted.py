@@ -5,6 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpusflow.functions.embed import signature
+from corpusflow.operators import inverted
 from corpusflow.operators import sparse as S
 from corpusflow.operators.inverted import LIGHT, TextIndex
 from corpusflow.sources.manifest import active
@@ -113,3 +115,32 @@ def test_driver_tables(spark, tmp_path):
     index = TextIndex(spark, f"file://{tmp_path}/i", segment=32)
     index.append("all", docs)
     assert got(index.search(queries, 4)) == got(S.bm25(queries, docs, 4))
+
+
+def test_texts_are_dealt_before_they_are_cut_and_codes_are_signatures(spark, tables, tmp_path, monkeypatch):
+    seen = {}
+    real = inverted.stored
+    monkeypatch.setattr(inverted, "stored", lambda df, name: seen.update({name: df}) or real(df, name))
+    docs, _ = tables
+    index = TextIndex(spark, f"file://{tmp_path}/i", segment=64)
+    index.append("all", docs)
+    plan = seen["documents-and-blocks"]._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("split(") < plan.index("RepartitionByExpression")
+    want = docs.select("doc_id", signature("text").alias("codes"), F.coalesce(F.size(S.tokens("text")), F.lit(0)).alias("n"))
+    assert sorted(map(str, index.docs().select("id", "codes", "n_terms").collect())) == sorted(
+        str(r) for r in want.withColumnsRenamed({"doc_id": "id", "n": "n_terms"}).collect())
+
+
+def test_merging_moves_full_blocks_and_joins_small_batches(spark, tables, tmp_path):
+    docs, queries = tables
+    index = TextIndex(spark, f"file://{tmp_path}/i", buckets=4, segment=64)
+    for n, part in enumerate(("doc_id < 300", "doc_id >= 300 AND doc_id < 310", "doc_id >= 310 AND doc_id < 330", "doc_id < 0",
+                              "doc_id >= 330 AND doc_id < 390", "doc_id >= 390 AND doc_id < 1040", "doc_id >= 1040")):
+        index.append(str(n), docs.where(part))
+    whole = index.postings().where("segment % 7 = 0").select("term", "ids", "tfs", "lens").collect()
+    before = index.postings().select("segment").distinct().count()
+    assert index.compact("merged")
+    moved = {(r.term, tuple(r.ids), tuple(r.tfs), tuple(r.lens)) for r in index.postings().collect()}
+    assert {(r.term, tuple(r.ids), tuple(r.tfs), tuple(r.lens)) for r in whole} <= moved
+    assert index.postings().select("segment").distinct().count() == before - 1
+    assert got(index.search(queries, 5)) == got(S.bm25(queries, docs, 5))
