@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,34 +29,41 @@ from .components import connected
 HALF = 32
 BLOCK = 16_384  # fingerprints of one trie block, so a task holds two such blocks
 CHECK = 32      # node pairs with at most so many fingerprint pairs are checked, not descended
+TEXTS = 1 << 20  # bytes of texts hashed at once in a task
+HASHES = 1 << 14  # hashes whose bits are counted at once
 STEP = 1 << 19  # node or fingerprint pairs handled at once in a task
 
 
-def _hashes(text: bytes, width: int) -> list[int]:
+def _hashes(text: bytes, width: int) -> np.ndarray:
     """XXH64 (seed 42) of the word shingles of a text; one of the whole if it has fewer words."""
     words = text.lower().split()  # of bytes: A-Z alone are lowered, ASCII white space alone splits
     if len(words) <= width:
-        return [xxhash.xxh64_intdigest(b" ".join(words), 42)] if words else []
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)] if words else [], np.uint64)
     joined = b" ".join(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
     starts = (ends - sizes)[:len(words) - width + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    return [digest(joined[a:b], 42) for a, b in zip(starts, ends[width - 1:].tolist(), strict=True)]
+    return np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, ends[width - 1:].tolist(), strict=True)), np.uint64, len(starts))
 
 
-def majority(groups: list[list[int]]) -> np.ndarray:
+def _bits(hashes) -> np.ndarray:
+    return np.unpackbits(np.asarray(hashes, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+
+
+def majority(groups: list) -> np.ndarray:
     """One fingerprint per list: bits set in over half of its hashes; zero for an empty list."""
     out = np.zeros(len(groups), np.uint64)
-    for a, b in in_groups([len(g) for g in groups], STEP):
-        full = [i for i in range(a, b) if groups[i]]
+    for a, b in in_groups([len(g) for g in groups], HASHES):
+        full = [i for i in range(a, b) if len(groups[i])]
         if not full:
             continue
         counts = np.array([len(groups[i]) for i in full])
-        starts = np.cumsum(counts) - counts
-        flat = np.fromiter((h for i in full for h in groups[i]), np.uint64, int(counts.sum()))
-        bits = np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        set_bits = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+        if len(full) == 1:  # a long text comes alone, and in pieces
+            set_bits = sum(_bits(groups[full[0]][at:at + HASHES]).sum(axis=0, dtype=np.int64) for at in range(0, counts[0], HASHES))[None, :]
+        else:
+            flat = _bits(np.concatenate([np.asarray(groups[i], np.uint64) for i in full]))
+            set_bits = np.add.reduceat(flat, np.cumsum(counts) - counts, axis=0, dtype=np.int32)
         out[full] = np.packbits(set_bits * 2 > counts[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
     return out
 
@@ -64,10 +72,11 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     """``(doc_id, fp)`` of every row; ``fp`` holds the 64 bits as a signed long."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            texts = utf8(part.column(1))
-            fps = np.zeros(len(texts), np.uint64)
-            for a, b in in_groups([len(t) for t in texts], 1 << 22):
-                fps[a:b] = majority([_hashes(t, width) for t in texts[a:b]])
+            column = part.column(1)
+            fps = np.zeros(len(column), np.uint64)
+            # Only a run of texts is held as Python objects, whatever the rows of a batch.
+            for a, b in in_groups(pc.binary_length(column).fill_null(0).to_pylist(), TEXTS):
+                fps[a:b] = majority([_hashes(t, width) for t in utf8(column.slice(a, b - a))])
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

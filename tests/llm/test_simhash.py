@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import xxhash
@@ -104,3 +105,14 @@ def test_components_of_chain_hub_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 200), (150, 149)]
     got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}}
+
+
+def test_hashes_and_their_bits_take_bounded_memory():
+    group = simhash._hashes(b" ".join(b"%d" % i for i in range(200_000)), 4)
+    assert group.dtype == np.uint64 and len(group) == 199_997
+    groups = [group[a:a + 1000] for a in range(0, len(group), 1000)]
+    tracemalloc.start()
+    found = simhash.majority(groups)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8_000_000 and found[3] == simhash.majority([groups[3].tolist()])[0]
