@@ -9,8 +9,8 @@ et al. 2007; the planes being orthogonal, that sum bounds the cosine to anything
 
 The index keeps each vector once, with its codes. Queries that pass a size check go to the index,
 which is read in place, and a task multiplies the rows of a code only with the queries that look
-into it. Beyond the check both sides meet on (table, code) in the block join, where a hot code is
-cut into blocks.
+into it. Beyond the check both sides meet as blocks of bounded size, and a pair of blocks is handled
+in the same way.
 """
 
 from __future__ import annotations
@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.embed import list_parts
-from ..plans.blockjoin import MAX_QUERIES_SENT, BestRows, Scoring, _ids, _rows, _schema, id_column, similar
+from ..plans.blockjoin import MAX_QUERIES_SENT, BestRows, Scoring, _grid, _ids, _rows, _schema, id_column
 from ..plans.ranking import top_k
 from ..plans.sizing import fits_broadcast, spread
 
 TABLES = 6
 BITS = 8     # planes of a table
 PROBES = 32  # codes of a table that a query looks into
+CELL_QUERIES = 2048  # queries of a block whose codes are ranked at once
 
 
 def planes(dim: int, tables: int = TABLES, bits: int = BITS) -> np.ndarray:
@@ -108,55 +109,77 @@ def _add(best: BestRows, owner: np.ndarray, scores: np.ndarray, ids: np.ndarray)
     best.ids[owner[kept], place[kept]] = ids[kept]
 
 
+def _lookers(matrix: np.ndarray, probes: int, tables: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each (table, code) the queries that look into it: their places, and where each code's begin."""
+    asked = probes_of(matrix, probes, tables, bits) if len(matrix) else np.zeros((0, tables, probes), np.int64)
+    key = (np.arange(tables)[None, :, None] << bits | asked).ravel()
+    order = np.argsort(key, kind="stable")
+    return (order // (tables * asked.shape[2] or 1)).astype(np.int32), np.searchsorted(key[order], np.arange((tables << bits) + 1))
+
+
+def _look(best: BestRows, how: Scoring, queries: tuple, ids: np.ndarray, rows: np.ndarray, codes: np.ndarray, tables: int, bits: int) -> None:
+    """Merge the rows that the queries ``(ids, matrix, *lookers)`` find into the best ones."""
+    query_ids, matrix, lookers, bounds = queries
+    for t in range(tables):
+        by_code = np.argsort(codes[:, t], kind="stable")
+        cuts = np.searchsorted(codes[by_code, t], np.arange((1 << bits) + 1))
+        owner, score, ident = [], [], []
+        for code, (a, b) in enumerate(pairwise(cuts)):
+            mine = lookers[bounds[t << bits | code]:bounds[(t << bits | code) + 1]]
+            if a == b or not len(mine):
+                continue
+            at = by_code[a:b]
+            found = how.scores(matrix[mine], rows[at])
+            bound, most = best.scores[mine, -1], how.k + how.exclude_self
+            if b - a > most:  # rows past the best of a code cannot be among the best
+                bound = np.maximum(bound, np.partition(found, b - a - most, axis=1)[:, b - a - most])
+            keep = found >= bound[:, None]
+            if how.exclude_self:
+                keep &= query_ids[mine][:, None] != ids[at][None, :]
+            r, c = np.nonzero(keep)
+            owner.append(mine[r])
+            score.append(found[r, c])
+            ident.append(ids[at[c]])
+        if owner:
+            _add(best, np.concatenate(owner), np.concatenate(score), np.concatenate(ident))
+
+
 def _send(queries: DataFrame, index: DataFrame, how: Scoring, probes: int, tables: int, bits: int) -> DataFrame:
     """Queries to every task; a task returns its own best ``k`` rows per query."""
     got = queries.toArrow()
     got = got.filter(got.column("vec").is_valid())
     query_ids, matrix = _ids(got.column("query_id")), _vectors(got.column("vec"))
-    asked = probes_of(matrix, probes, tables, bits) if len(matrix) else np.zeros((0, tables, probes), np.int64)
-    # For each (table, code) the queries that look into it.
-    key = (np.arange(tables)[None, :, None] << bits | asked).ravel()
-    order = np.argsort(key, kind="stable")
-    lookers = (order // (tables * asked.shape[2] or 1)).astype(np.int32)
-    bounds = np.searchsorted(key[order], np.arange((tables << bits) + 1))
-    sent = index.sparkSession.sparkContext.broadcast((query_ids, matrix, lookers, bounds))
+    sent = index.sparkSession.sparkContext.broadcast((query_ids, matrix, *_lookers(matrix, probes, tables, bits)))
 
     def task(batches):
-        query_ids, matrix, lookers, bounds = sent.value
+        query_ids = sent.value[0]
         best = BestRows(len(query_ids), how.k, how.id_type == pa.int64())
         for batch in batches:
             batch = batch.filter(batch.column("vec").is_valid())
-            if not batch.num_rows or not len(query_ids):
-                continue
-            ids, rows = _ids(batch.column("id")), _vectors(batch.column("vec"))
-            codes = list_parts(batch.column("codes"))[0].reshape(len(ids), tables)
-            for t in range(tables):
-                by_code = np.argsort(codes[:, t], kind="stable")
-                cuts = np.searchsorted(codes[by_code, t], np.arange((1 << bits) + 1))
-                owner, score, ident = [], [], []
-                for code, (a, b) in enumerate(pairwise(cuts)):
-                    mine = lookers[bounds[t << bits | code]:bounds[(t << bits | code) + 1]]
-                    if a == b or not len(mine):
-                        continue
-                    at = by_code[a:b]
-                    found = how.scores(matrix[mine], rows[at])
-                    bound, most = best.scores[mine, -1], how.k + how.exclude_self
-                    if b - a > most:  # rows past the best of a code cannot be among the best
-                        bound = np.maximum(bound, np.partition(found, b - a - most, axis=1)[:, b - a - most])
-                    keep = found >= bound[:, None]
-                    if how.exclude_self:
-                        keep &= query_ids[mine][:, None] != ids[at][None, :]
-                    r, c = np.nonzero(keep)
-                    owner.append(mine[r])
-                    score.append(found[r, c])
-                    ident.append(ids[at[c]])
-                if owner:
-                    _add(best, np.concatenate(owner), np.concatenate(score), np.concatenate(ident))
+            if batch.num_rows and len(query_ids):
+                codes = list_parts(batch.column("codes"))[0].reshape(batch.num_rows, tables)
+                _look(best, how, sent.value, _ids(batch.column("id")), _vectors(batch.column("vec")), codes, tables, bits)
         yield best.rows(how, query_ids) if len(query_ids) else _rows(how, [], [], [])
 
     return index.mapInArrow(task, _schema(queries, index))
 
 
+def _cells(queries: DataFrame, index: DataFrame, how: Scoring, probes: int, tables: int, bits: int) -> DataFrame:
+    """Blocks of queries meet blocks of the index; a pair of blocks returns its own best ``k`` rows per query."""
+    def look(how, left, right):
+        ids, rows = _ids(right.column("id")), _vectors(right.column("vec"))
+        codes = list_parts(right.column("codes"))[0].reshape(len(ids), tables)
+        for at in range(0, left.num_rows, CELL_QUERIES):
+            part = left.slice(at, CELL_QUERIES)
+            query_ids, matrix = _ids(part.column("query_id")), _vectors(part.column("vec"))
+            best = BestRows(len(query_ids), how.k, how.id_type == pa.int64())
+            _look(best, how, (query_ids, matrix, *_lookers(matrix, probes, tables, bits)), ids, rows, codes, tables, bits)
+            yield best.rows(how, query_ids)
+
+    left, right = (df.where("vec IS NOT NULL").withColumn("_all", F.lit(0)) for df in (queries, index))
+    return _grid(left, right, ["_all"], how, look)
+
+
 def nearest_approximate(queries: DataFrame, index: DataFrame, k: int, probes: int = PROBES, *, tables: int = TABLES, bits: int = BITS,
                         query_id: str = "query_id", vec: str = "embedding", exclude_self: bool = False,
                         send_limit: int = MAX_QUERIES_SENT) -> DataFrame:
@@ -167,18 +190,11 @@ def nearest_approximate(queries: DataFrame, index: DataFrame, k: int, probes: in
     """
     asked = queries.select(id_column(queries, query_id).alias("query_id"), F.col(vec).alias("vec"))
     rows = index.select(id_column(index, "id").alias("id"), F.col("embedding").alias("vec"), "codes")
-    if fits_broadcast(asked, "8 * size(vec) + 64", send_limit):
-        how = Scoring(k=k, exclude_self=exclude_self, query_type=to_arrow_type(asked.schema["query_id"].dataType),
-                      id_type=to_arrow_type(rows.schema["id"].dataType))
-        found = _send(asked, rows, how, probes, tables, bits).drop("rank").dropDuplicates(["query_id", "id"])
-        return top_k(found, k, ["query_id"], [F.desc("score"), F.asc("id")]).select("query_id", "id", "rank", "score")
-
-    numbered = lambda df, column, each: df.select(
-        "*", F.posexplode(column).alias("_at", "code")).withColumn("table_no", F.floor(F.col("_at") / each).cast("int")).drop("_at")
-    looks = _numbers(lambda m: probes_of(m, probes, tables, bits), tables * probes)
-    asked = numbered(asked.where("vec IS NOT NULL"), looks("vec"), probes)
-    rows = numbered(rows.where("vec IS NOT NULL"), F.col("codes"), 1).drop("codes")
-    return similar(asked, rows, k, query_vec="vec", vec="vec", by=["table_no", "code"], exclude_self=exclude_self, repeated=True)
+    how = Scoring(k=k, exclude_self=exclude_self, query_type=to_arrow_type(asked.schema["query_id"].dataType),
+                  id_type=to_arrow_type(rows.schema["id"].dataType))
+    search = _send if fits_broadcast(asked, "8 * size(vec) + 64", send_limit) else _cells
+    found = search(asked, rows, how, probes, tables, bits).drop("rank").dropDuplicates(["query_id", "id"])
+    return top_k(found, k, ["query_id"], [F.desc("score"), F.asc("id")]).select("query_id", "id", "rank", "score")
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

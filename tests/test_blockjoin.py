@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -114,3 +116,20 @@ def test_struct_and_string_ids_in_the_grid(spark):
         for doc, n, v in rows:
             best = sorted(rows, key=lambda o: (-round(float(np.dot(v, o[2])), 6), o[0], o[1]))[:3]
             assert [x for _, x in sorted(found[f"{doc}-{n}"])] == [(d, m) for d, m, _ in best]
+
+
+def test_ties_take_bounded_memory():
+    how = blockjoin.Scoring(k=1)
+    ids, rows = np.arange(4096), np.ones((4096, 4))
+    tracemalloc.start()
+    found = list(blockjoin._compare(how, ids, rows, [(ids, rows)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150_000_000 and found[0].column("id").to_pylist() == [0] * 4096
+
+
+def test_blocks_grow_with_the_tables_up_to_what_a_task_holds(spark):
+    for n, most in ((10_000, 8), (50_000, 16), (600_000, 40)):
+        groups = spark.createDataFrame([(n, n, 64)], "_nq bigint, _nc bigint, _dim int")
+        query_rows, corpus_rows = blockjoin._block_rows(groups, 384)
+        assert -(-n // query_rows) + -(-n // corpus_rows) <= most and max(query_rows, corpus_rows) * 64 * 8 <= 16 << 20
