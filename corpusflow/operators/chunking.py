@@ -6,14 +6,17 @@ from collections import deque
 from functools import reduce
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.embed import DIM, semantic_starts, signature
 from ..functions.text import sentences
 from ..plans.ranking import explode_list
+from ..plans.sizing import in_groups
 
 # Separators from coarse to fine.
+AT_ONCE = 1 << 20  # bytes of texts held as Python strings at a time inside one task
 PLAIN = ("\n\n", "\n", " ", "")
 PYTHON = ("\nclass ", "\ndef ", "\n\tdef ", "\n\n", "\n", " ", "")
 
@@ -64,6 +67,14 @@ def split_text(text: str, size: int, overlap: int, separators=PLAIN) -> list[str
     return [chunk for chunk in (c.strip() for c in found) if chunk]
 
 
+def _chunk_lists(texts: pa.Array, size: int, overlap: int, separators) -> pa.Array:
+    """Chunks of each text, a bounded run of texts at a time."""
+    kind = pa.list_(pa.string())
+    done = [pa.array([None if t is None else split_text(t, size, overlap, separators) for t in texts.slice(a, b - a).to_pylist()], kind)
+            for a, b in in_groups(pc.binary_length(texts).fill_null(0).to_pylist(), AT_ONCE)]
+    return pa.concat_arrays(done) if done else pa.array([], kind)
+
+
 def recursive(text, size: int = 300, overlap: int = 30, separators=PLAIN) -> Column:
     """``ARRAY<STRING>`` of chunks; null stays null."""
     if not 0 <= overlap < size:
@@ -71,9 +82,7 @@ def recursive(text, size: int = 300, overlap: int = 30, separators=PLAIN) -> Col
 
     @F.arrow_udf("array<string>")
     def chunks(texts: pa.Array) -> pa.Array:
-        parts = [None if t is None else split_text(t, size, overlap, separators)
-                 for t in texts.to_pylist()]
-        return pa.array(parts, pa.list_(pa.string()))
+        return _chunk_lists(texts, size, overlap, separators)
 
     return chunks(text)
 

@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -204,3 +207,14 @@ def test_distinct_sources_keep_first_rank(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 3, "a")], "query_id int, rank int, f string")
     out = {(r.f, r.first_rank, r.source_no) for r in R.distinct_sources(df, ["f"]).collect()}
     assert out == {("a", 1, 1), ("b", 2, 2)}
+
+
+def test_only_a_run_of_texts_is_held_as_strings():
+    texts = pa.array(["some words of a text. " * 200, None, ""] * 3000)
+    tracemalloc.start()
+    found = K._chunk_lists(texts, 300, 30, K.PLAIN)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6_000_000 < texts.nbytes and found.type == pa.list_(pa.string())
+    assert found.to_pylist()[-3:] == [K.split_text("some words of a text. " * 200, 300, 30), None, []]
+    assert K._chunk_lists(pa.array([], pa.string()), 300, 30, K.PLAIN).to_pylist() == []
