@@ -93,6 +93,21 @@ def test_ingest_of_a_table_stored_as_a_folder(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, S.bm25(queries, docs, 2).collect()))
 
 
+def test_ingest_of_a_single_file_beside_a_partitioned_table(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "one red fox"), (2, "two foxes"), (3, "a red red hen"), (4, None)], "doc_id bigint, text string")
+    folder = tmp_path / "in"
+    table(spark, requests(n=12)).write.partitionBy("tenant").parquet(str(folder / "embeddings.parquet"))
+    docs.coalesce(1).write.parquet(str(tmp_path / "one"))
+    next((tmp_path / "one").glob("part-*")).rename(folder / "documents.parquet")
+    docs.coalesce(1).write.parquet(str(folder / "old" / "documents.parquet"))  # another table of the name, further down
+    root = str(tmp_path / "out")
+    jobs.ingest(jobs.file_stream(spark, str(folder), "documents.parquet"), root)
+    assert spark.read.parquet(f"{root}/documents").count() == 4
+    queries = spark.createDataFrame([(1, "red hen"), (2, "two")], "query_id bigint, query string")
+    found = jobs.ingested_search(spark, root, queries, 2)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, S.bm25(queries, docs, 2).collect()))
+
+
 def test_lookup_is_null_below_the_threshold_and_inclusive(spark):
     entries = spark.createDataFrame([(1, [1.0, 0.0])], "id bigint, embedding array<float>")
     asked = spark.createDataFrame([(7, [1.0, 0.0]), (8, [0.6, 0.8]), (9, [0.0, 1.0])],
